@@ -1,0 +1,29 @@
+"""Vector arithmetic on ``array<float>`` / ``array<double>`` Columns, in double."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return _sum(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
+
+
+def norm(a: Column) -> Column:
+    return F.sqrt(_sum(F.transform(a, lambda x: x.cast("double") * x.cast("double"))))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine similarity; null for a zero vector."""
+    size = norm(a) * norm(b)
+    return F.when(size > 0, dot(a, b) / size)
+
+
+def l2_distance(a: Column, b: Column) -> Column:
+    return F.sqrt(_sum(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double"))
+                                  * (x.cast("double") - y.cast("double")))))
