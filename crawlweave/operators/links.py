@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 from crawlweave.functions.urls import normalize_address, parse_url
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def site_links(urls: pd.Series, links: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def site_links(urls: pa.Array, links: pa.Array) -> pa.Array:
     """Distinct normalized links of each page that stay on its origin."""
     known: dict[str, tuple] = {}
 
@@ -23,10 +23,11 @@ def site_links(urls: pd.Series, links: pd.Series) -> pd.Series:
 
     def keep(page: str, targets) -> list[str]:
         origin = look(page)[0]
-        pairs = map(look, targets if targets is not None else ())
+        pairs = map(look, targets or ())
         return list(dict.fromkeys(link for site, link in pairs if origin and site == origin))
 
-    return pd.Series([keep(page, targets) for page, targets in zip(urls, links)], dtype=object)
+    return pa.array([keep(page, targets) for page, targets in zip(urls.to_pylist(), links.to_pylist())],
+                    pa.list_(pa.string()))
 
 
 def same_origin_links(pages: DataFrame) -> DataFrame:

@@ -40,9 +40,11 @@ def _level(steps: DataFrame, slice_seconds: int) -> DataFrame:
     Two-level running sum: inside time slices, then over slice totals, so no task ever sorts a whole origin.
     A level held at zero is the sum minus the lowest point it reached below zero so far.
     """
-    moments = (steps.groupBy("origin", "ts").agg(F.sum("step").alias("step"))
-               .withColumn("slice", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (slice_seconds * 1_000_000))))
-    inside = Window.partitionBy("origin", "slice").orderBy("ts")
+    slice_no = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (slice_seconds * 1_000_000))
+    known = steps.withColumn("slice", slice_no).filter(F.col("origin").isNotNull() & F.col("slice").isNotNull())
+    # Both levels read the same exchange; the aggregate and the windows keep its partitioning.
+    moments = known.repartition("origin", "slice").groupBy("origin", "slice", "ts").agg(F.sum("step").alias("step"))
+    inside = Window.partitionBy("origin", "slice").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     runs = moments.withColumn("run", F.sum("step").over(inside)).withColumn("low", F.min("run").over(inside))
     slices = runs.groupBy("origin", "slice").agg(F.sum("step").alias("total"), F.min("run").alias("lowest"))
     before = Window.partitionBy("origin").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

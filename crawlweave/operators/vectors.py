@@ -8,27 +8,48 @@ holds a third of all vectors is spread over many blocks.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from crawlweave.functions.vectors import cosine
+from crawlweave.functions.arrow import matrix, vectors
 from crawlweave.options import IVF_LISTS
 
 BLOCK_ROWS = 50_000
 BLOCK_QUERIES = 2_000
 
 
+def _cosine_to(reference: list[float]):
+    """Cosine of each vector to one reference; null for a null or zero vector, as the cosine is undefined."""
+    ref = np.asarray(reference, dtype=np.float64)
+    size = np.sqrt(ref @ ref)
+
+    @F.arrow_udf(T.DoubleType())
+    def cosine(found: pa.Array) -> pa.Array:
+        given = found.is_valid().to_numpy(zero_copy_only=False)
+        rows = matrix(found.drop_null())
+        result = np.full(len(found), np.nan)
+        if len(rows):
+            norms = np.sqrt(np.einsum("ij,ij->i", rows, rows)) * size
+            result[given] = np.divide(rows @ ref, norms, out=np.full(len(rows), np.nan), where=norms > 0)
+        return pa.array(result, from_pandas=True)
+
+    return cosine
+
+
 def similar_pages(table: DataFrame, ref_url: str, k: int = 10) -> DataFrame:
     """The ``k`` rows most similar to one page's vector, the page itself left out; no such page, no rows.
 
-    The reference vector is a scalar subquery, the rest one scan with a top-k per task.
+    One row is looked up first; the search is one scan with a top-k per task.
     """
-    ref = table.filter(F.col("url") == ref_url).select("embedding").limit(1).scalar()
-    return (table.filter(F.col("url") != ref_url).withColumn("_ref", ref).filter(F.col("_ref").isNotNull())
-            .select("url", "title", "detected_type", cosine(F.col("embedding"), F.col("_ref")).alias("cosine_sim"))
+    ref = table.filter(F.col("url") == ref_url).select("embedding").first()
+    if ref is None or ref["embedding"] is None:
+        return table.filter(F.lit(False)).select("url", "title", "detected_type", F.lit(0.0).alias("cosine_sim"))
+    return (table.filter(F.col("url") != ref_url)
+            .select("url", "title", "detected_type", _cosine_to(ref["embedding"])("embedding").alias("cosine_sim"))
             .orderBy(F.col("cosine_sim").desc_nulls_last(), "url").limit(k))
 
 
@@ -61,12 +82,11 @@ def ivf_build(table: DataFrame, path: str, lists: int = IVF_LISTS, seed: int = 1
 def _probes(queries: DataFrame, centers: np.ndarray, ids: np.ndarray, nprobe: int) -> DataFrame:
     """The nearest ``nprobe`` lists of every query. The centroids (lists x dim) travel with the function."""
 
-    @F.pandas_udf("array<int>")
-    def nearest(vectors: pd.Series) -> pd.Series:
-        batch = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-        distance = (centers ** 2).sum(1) - 2 * batch @ centers.T
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def nearest(found: pa.Array) -> pa.Array:
+        distance = (centers ** 2).sum(1) - 2 * matrix(found) @ centers.T
         order = np.argsort(distance, axis=1, kind="stable")[:, :nprobe]
-        return pd.Series([ids[row].tolist() for row in order], dtype=object)
+        return vectors(ids[order].astype(np.int32))
 
     return queries.withColumn("list_id", F.explode(nearest("embedding")))
 
@@ -98,32 +118,35 @@ def ivf_search(spark, path: str, queries: DataFrame, k: int = 10, nprobe: int =
              .withColumn("query_slice", F.pmod(F.xxhash64("query_id"), F.col("n_queries")))
              .withColumn("row_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_rows") - 1))))
 
-    def block(found: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(found) and len(asked):
-            found = found.sort_values("url", kind="stable")
-            urls = found["url"].to_numpy()
-            matrix = np.stack(found["embedding"].to_numpy()).astype(np.float64)
-            squares = (matrix ** 2).sum(1)
+    def block(_, found: pa.Table, asked: pa.Table) -> pa.Table:
+        queries_out, urls_out, distances_out = [], [], []
+        if found.num_rows and asked.num_rows:
+            urls = np.array(found["url"].to_pylist(), dtype=object)
+            order = np.argsort(urls, kind="stable")
+            urls, rows = urls[order], matrix(found["embedding"])[order]
+            squares = np.einsum("ij,ij->i", rows, rows)
             take = min(k, len(urls))
-            for at in range(0, len(asked), 256):
-                some = asked.iloc[at:at + 256]
-                batch = np.stack(some["embedding"].to_numpy()).astype(np.float64)
-                near = squares - 2 * batch @ matrix.T
-                edge = np.partition(near, take - 1, axis=1)[:, take - 1:take]
-                for query, scores, limit, vector in zip(some["query_id"], near, edge, batch):
+            names, probes_in = asked["query_id"].to_pylist(), matrix(asked["embedding"])
+            for at in range(0, len(names), 256):
+                batch = probes_in[at:at + 256]
+                near = squares - 2 * batch @ rows.T
+                edge = np.partition(near, take - 1, axis=1)[:, take - 1]
+                for name, scores, limit, vector in zip(names[at:at + 256], near, edge, batch):
                     # Everything up to the k-th score, ties included; exact distances settle the order.
-                    hits = np.flatnonzero(scores <= limit[0] + 1e-9 * (1 + abs(limit[0])))
-                    exact = np.sqrt(((matrix[hits] - vector) ** 2).sum(1))
-                    best = np.lexsort((urls[hits], exact))[:k]
-                    parts.append(pd.DataFrame({"query_id": query, "url": urls[hits][best], "distance": exact[best]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "url": [], "distance": []})
+                    hits = np.flatnonzero(scores <= limit + 1e-9 * (1 + abs(limit)))
+                    exact = np.sqrt(((rows[hits] - vector) ** 2).sum(1))
+                    best = np.lexsort((hits, exact))[:k]
+                    queries_out += [name] * len(best)
+                    urls_out += urls[hits[best]].tolist()
+                    distances_out += exact[best].tolist()
+        return pa.table([pa.array(queries_out, asked.schema.field("query_id").type), pa.array(urls_out, pa.string()),
+                         pa.array(distances_out, pa.float64())], names=["query_id", "url", "distance"])
 
     id_type = queries.schema["query_id"].dataType.simpleString()
     keys = ["list_id", "row_slice", "query_slice"]
     best = (left.select(*keys, "url", "embedding").groupBy(*keys)
             .cogroup(right.select(*keys, "query_id", "embedding").groupBy(*keys))
-            .applyInPandas(block, f"query_id {id_type}, url string, distance double"))
+            .applyInArrow(block, f"query_id {id_type}, url string, distance double"))
     rank = Window.partitionBy("query_id").orderBy("distance", "url")
     return best.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "url", "distance")

@@ -65,15 +65,14 @@ SELECT event_id, ts,
 FROM @events""",
     # Robots texts per origin; some origins have none.
     "v_robots": """
-SELECT origin, CASE n % 6
+SELECT origin, CASE first_page % 6
          WHEN 0 THEN 'User-agent: *' || chr(10) || 'Disallow: /'
          WHEN 1 THEN 'User-agent: *' || chr(10) || 'Disallow: /en/' || chr(10) || 'Allow: /en/1'
          WHEN 2 THEN 'User-agent: other' || chr(10) || 'Disallow: /'
          WHEN 3 THEN 'User-agent: other' || chr(10) || 'User-agent: *' || chr(10) || 'Disallow: /*.html$ # files' || chr(10) || 'Disallow:'
          WHEN 4 THEN '' END AS body
-FROM (SELECT origin, row_number() OVER (ORDER BY first_page) AS n
-      FROM (SELECT regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin, min(page_id) AS first_page
-            FROM @pages GROUP BY 1) a) b""",
+FROM (SELECT regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin, min(page_id) AS first_page
+      FROM @pages GROUP BY 1) a""",
     "v_results": """
 SELECT doc_id AS seq,
        'https://www.h' || CAST(doc_id % 7 AS VARCHAR(10)) || '.example.com/' || lang ||
@@ -143,15 +142,14 @@ def _needed(sql: str) -> list[str]:
     return order
 
 
-def _with(sql: str, extra: str = "") -> str:
+def _with(sql: str) -> str:
     """Put the views a query uses in front of it, before its own WITH parts if it has any."""
     parts = [f"{name} AS ({VIEWS[name].strip()})" for name in _needed(sql)]
     body = sql.strip()
     if not parts:
         return body
-    recursive = ""
-    if body.upper().startswith("WITH "):
-        return "WITH " + recursive + ",\n".join(parts) + ",\n" + body[5:]
+    if body.startswith("WITH "):
+        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 

@@ -129,11 +129,11 @@ def nonempty_text(spark, folder):
 @query("new_content", """
 SELECT doc_id, sha256(text) AS content_hash FROM (
   SELECT doc_id, text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM @documents) d
-WHERE rn = 1 AND text NOT IN (SELECT text FROM @documents WHERE source = 'wiki')""")
+WHERE rn = 1 AND text NOT IN (SELECT text FROM @documents WHERE source = 'src0')""")
 def content_first_seen(spark, folder):
     docs = extract.fingerprints(table(spark, folder, "documents").select("doc_id", "source", "text"))
     docs = docs.select("doc_id", "source", "content_hash")
-    seen = docs.filter(F.col("source") == "wiki").select("content_hash")
+    seen = docs.filter(F.col("source") == "src0").select("content_hash")
     return new_content(docs, seen, order=("doc_id",)).select("doc_id", "content_hash")
 
 

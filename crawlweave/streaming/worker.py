@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlweave.functions.urls import origin_of
-from crawlweave.operators.dedupe import first_per_key
+from crawlweave.operators.dedupe import new_urls
 from crawlweave.operators.extract import extract_pages, page_results, result_json
 from crawlweave.operators.gates import child_tasks, depth_gate, origin_cap, robots_gate
 from crawlweave.operators.links import same_origin_links
@@ -59,25 +59,20 @@ class CrawlWorker:
         """
         options, label = self.options, f"{GROUP_WORKER}-{batch}"
         judged = validate_tasks(messages.select(*CARRIED))
-        judged = self._stage(judged, "judged", batch)
-        bad = judged.filter(F.col("outcome") == "dlq").select(*CARRIED, "outcome")
-
+        bad = judged.filter(F.col("outcome") == "dlq")
         tasks = depth_gate(judged.filter(F.col("outcome") == "ok"), options.max_depth)
         tasks = robots_gate(tasks, self.rules) if self.rules is not None else tasks
-        tasks = first_per_key(tasks, "url", ("timestamp", "offset", "topic"))
         seen = self.visited(before=batch)
-        if not options.recrawl:
-            tasks = tasks.join(seen.select("url"), "url", "left_anti")
-        tasks = tasks.select(*CARRIED, "url", "depth", "priority").withColumn("origin", origin_of(F.col("url")))
+        tasks = new_urls(tasks, seen, order=("timestamp", "offset", "topic"), recrawl=options.recrawl)
+        tasks = tasks.withColumn("origin", origin_of(F.col("url")))
+        arrived = self._stage(bad.unionByName(tasks, allowMissingColumns=True), "arrived", batch)
+        bad, tasks = arrived.filter(F.col("outcome") == "dlq"), arrived.filter(F.col("outcome") == "ok")
         if options.max_per_origin is not None:
-            tasks = origin_cap(tasks, options.max_per_origin, order=("timestamp", "offset", "url"))
-        else:
-            tasks = tasks.withColumn("outcome", F.lit("ok"))
-        tasks = self._stage(tasks, "tasks", batch)
-        capped = tasks.filter(F.col("outcome") == "retry").select(*CARRIED, "outcome")
-
-        fetched = snapshot_fetch(tasks.filter(F.col("outcome") == "ok").drop("outcome", "origin"), self.snapshot)
-        fetched = extract_pages(fetched, options.include_selectors, keep_html=bool(options.include_selectors))
+            tasks = origin_cap(tasks.drop("outcome"), options.max_per_origin, order=("timestamp", "offset", "url"))
+
+        due = tasks.filter(F.col("outcome") == "ok").select(*CARRIED, "url", "depth")
+        fetched = extract_pages(snapshot_fetch(due, self.snapshot), options.include_selectors,
+                                keep_html=bool(options.include_selectors))
         fetched = self._stage(fetched, "fetched", batch)
         failed = route_outcomes(fetched.filter(F.col("outcome") == "retry").select(*CARRIED, "outcome", "url"),
                                 options.max_attempts)
@@ -89,14 +84,16 @@ class CrawlWorker:
         fresh = self._stage(found.join(first, "url", "left_semi"), "fresh", batch)
 
         # A full origin only waits; tries are limited for pages that cannot be fetched.
-        again = route_outcomes(bad.unionByName(capped)).unionByName(failed.drop("url"))
-        write_topics(again.drop("offset", "timestamp"), self.log, f"{label}-again")
+        full = tasks.filter(F.col("outcome") == "retry")
+        again = route_outcomes(bad.select(*CARRIED, "outcome").unionByName(full.select(*CARRIED, "outcome")))
         links = same_origin_links(child_tasks(fresh.select("url", "depth", "links"), options.max_depth))
-        write_topics(to_task_messages(links.select(F.col("link").alias("url"), "depth"), TOPIC_INITIAL),
-                     self.log, f"{label}-links")
+        links = to_task_messages(links.select(F.col("link").alias("url"), "depth"), TOPIC_INITIAL)
         results = page_results(fresh.withColumnRenamed("timestamp", "fetched_at"), selectors=options.include_selectors)
-        write_topics(to_result_messages(results.withColumn("url", F.col("sitesUrl")), result_json(results)),
-                     self.log, f"{label}-results")
+        results = to_result_messages(results, result_json(results))
+        messages_out = ["topic", "key", "value", "headers"]
+        out = again.select(*messages_out).unionByName(failed.select(*messages_out))
+        out = out.unionByName(links, allowMissingColumns=True).unionByName(results, allowMissingColumns=True)
+        write_topics(out, self.log, label)
 
         published = fresh.select("url", F.lit(True).alias("_new"))
         final = (found.select("url", "content_hash").join(published, "url", "left")
