@@ -109,7 +109,8 @@ def _broken(doc: Column, found_kinds: Column, rule: Rule) -> list[Column]:
 
 def violations(doc: Column, found_kinds: Column, value: Column, rules: list[Rule], closed: bool = False) -> Column:
     """All broken rules of a JSON document, in rule order; ``closed`` rejects keys without a rule."""
-    codes = F.array_compact(F.array(*[code for rule in rules for code in _broken(doc, found_kinds, rule)]))
+    codes = [F.coalesce(code, F.lit("")) for rule in rules for code in _broken(doc, found_kinds, rule)]
+    codes = F.array_remove(F.array(*codes), "")
     if closed:
         keys = F.array_except(F.json_object_keys(value), F.array(*[F.lit(r.name) for r in rules]))
         codes = F.concat(codes, F.transform(F.coalesce(keys, F.array().cast("array<string>")),

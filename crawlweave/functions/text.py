@@ -49,8 +49,8 @@ def product_id(url: Column, pattern: str) -> Column:
 
 def product_slug(url: Column) -> Column:
     """Second last non-empty path part before the query."""
-    parts = F.filter(F.split(F.substring_index(url, "?", 1), "/"), lambda part: part != "")
-    return F.when(F.size(parts) >= 2, F.element_at(parts, -2))
+    path = F.substring_index(url, "?", 1)
+    return F.nullif(F.regexp_extract(path, r"(?s)([^/]+)/+[^/]+/*\z", 1), F.lit(""))
 
 
 def first_text(body: Column) -> Column:

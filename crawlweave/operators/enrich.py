@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlweave.functions.text import first_text
+from crawlweave.functions.urls import message_key
 from crawlweave.sources.topics import to_task_messages
 from crawlweave.options import TOPIC_ENRICHED, TOPIC_PRIORITY
 
@@ -79,3 +80,16 @@ def priority_tasks(labelled: DataFrame, url: str = "url", label: str = "label")
     tasks = labelled.filter(F.col(label) == "product").select(
         F.col(url).alias("url"), F.lit(0).alias("depth"), F.lit("high").alias("priority"))
     return to_task_messages(tasks, TOPIC_PRIORITY)
+
+
+def enrich_and_requeue(messages: DataFrame, fn: Classifier = default_rule) -> DataFrame:
+    """Result messages -> enriched messages and, for products, priority tasks: one pass, one classifier call a row."""
+    enriched = enrich_messages(messages, fn)
+    kept = [c for c in enriched.columns if c not in ("topic", "key", "value", "url", "label", "confidence")]
+    key = message_key(F.col("url"))
+    task = F.to_json(F.struct(F.col("url"), F.lit(0).alias("depth"), F.lit("high").alias("priority")))
+    outputs = F.array(
+        F.struct(F.lit(TOPIC_ENRICHED).alias("topic"), F.col("value").alias("value")),
+        F.when(F.col("label") == "product", F.struct(F.lit(TOPIC_PRIORITY).alias("topic"), task.alias("value"))))
+    return (enriched.select(*kept, key.alias("key"), F.explode(outputs).alias("_out"))
+            .filter(F.col("_out").isNotNull()).select("_out.topic", "key", "_out.value", *kept))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from crawlweave.functions.arrow import matrix, vectors
 from crawlweave.options import IVF_LISTS
 
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 2_000
 
 

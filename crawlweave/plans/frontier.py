@@ -53,17 +53,18 @@ def crawl_frontier(spark: SparkSession, tasks: DataFrame, snapshot: DataFrame, p
         fetched = spark.read.schema(FETCHED).parquet(f"{path}/fetched/wave={wave}")
         if wave and fetched.isEmpty():
             break
-        fresh = fetched.filter(F.col("outcome") == "ok")
+        done.append(f"{path}/fetched/wave={wave}")
+        fresh = fetched.filter(F.col("outcome") == "ok").select("url", "content_hash")
         if dedupe_content:
             fresh = fresh.groupBy("content_hash").agg(F.min("url").alias("url"))
             if before is not None:
                 fresh = fresh.join(before.select("content_hash").distinct(), "content_hash", "left_anti")
-        fresh.select("url").write.mode("overwrite").parquet(f"{path}/fresh/wave={wave}")
-        fresh = spark.read.schema("url string").parquet(f"{path}/fresh/wave={wave}")
-        done.append(f"{path}/fetched/wave={wave}")
-        todo = (child_tasks(fetched.join(fresh, "url", "left_semi").select("url", "depth"), max_depth)
+        todo = (child_tasks(fetched.join(fresh.select("url"), "url", "left_semi").select("url", "depth"), max_depth)
                 .join(pages.select("url", "site_links"), "url")
                 .select(F.explode("site_links").alias("url"), "depth"))
     fetched = spark.read.schema(FETCHED + ", wave int").parquet(f"{path}/fetched")
-    fresh = spark.read.schema("url string").parquet(f"{path}/fresh").select("url", F.lit(True).alias("_fresh"))
+    fresh = fetched.filter(F.col("outcome") == "ok").select("url", "content_hash", "wave")
+    if dedupe_content:
+        fresh = first_per_key(fresh, "content_hash", ("wave", "url"))
+    fresh = fresh.select("url", F.lit(True).alias("_fresh"))
     return fetched.join(fresh, "url", "left").withColumn("fresh", F.coalesce("_fresh", F.lit(False))).drop("_fresh")

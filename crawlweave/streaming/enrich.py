@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlweave.operators.enrich import Classifier, default_rule, enrich_messages, priority_tasks
+from crawlweave.operators.enrich import Classifier, default_rule, enrich_and_requeue
 from crawlweave.options import GROUP_AI, TOPIC_RESULTS_DB
 from crawlweave.sources.topics import read_topics, write_topics
 
 
 def enrich_batch(messages: DataFrame, log: str, batch: str, fn: Classifier = default_rule) -> None:
-    """Publish one batch. Rows stay narrow columns plus the JSON line; nothing is shuffled."""
-    enriched = enrich_messages(messages, fn)
-    write_topics(enriched, log, batch)
-    write_topics(priority_tasks(enriched), log, batch)
+    """Publish one batch to the enriched and priority topics."""
+    write_topics(enrich_and_requeue(messages, fn), log, batch)
 
 
 def stream_enrich(spark: SparkSession, log: str, checkpoint: str, fn: Classifier = default_rule,

@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlweave.functions.urls import origin_of
-from crawlweave.operators.dedupe import new_urls
+from crawlweave.operators.dedupe import new_urls, unseen
 from crawlweave.operators.extract import extract_pages, page_results, result_json
 from crawlweave.operators.gates import child_tasks, depth_gate, origin_cap, robots_gate
 from crawlweave.operators.links import same_origin_links
 from crawlweave.operators.routing import route_outcomes
 from crawlweave.operators.validate import validate_tasks
 from crawlweave.options import GROUP_WORKER, TASK_TOPICS, TOPIC_DLQ, TOPIC_INITIAL, CrawlOptions
+from crawlweave.sources.folder import Folder
 from crawlweave.sources.snapshot import snapshot_fetch
 from crawlweave.sources.topics import read_topics, to_result_messages, to_task_messages, write_topics
 
@@ -62,11 +63,13 @@ class CrawlWorker:
         bad = judged.filter(F.col("outcome") == "dlq")
         tasks = depth_gate(judged.filter(F.col("outcome") == "ok"), options.max_depth)
         tasks = robots_gate(tasks, self.rules) if self.rules is not None else tasks
-        seen = self.visited(before=batch)
-        tasks = new_urls(tasks, seen, order=("timestamp", "offset", "topic"), recrawl=options.recrawl)
+        tasks = new_urls(tasks, order=("timestamp", "offset", "topic"))
         tasks = tasks.withColumn("origin", origin_of(F.col("url")))
         arrived = self._stage(bad.unionByName(tasks, allowMissingColumns=True), "arrived", batch)
         bad, tasks = arrived.filter(F.col("outcome") == "dlq"), arrived.filter(F.col("outcome") == "ok")
+        seen = self.visited(before=batch)
+        if not options.recrawl:
+            tasks = self._stage(unseen(tasks, seen, "url"), "unseen", batch)
         if options.max_per_origin is not None:
             tasks = origin_cap(tasks.drop("outcome"), options.max_per_origin, order=("timestamp", "offset", "url"))
 
@@ -79,9 +82,8 @@ class CrawlWorker:
 
         found = fetched.filter(F.col("outcome") == "ok")
         first = found.groupBy("content_hash").agg(F.min("url").alias("url"))
-        hashes = seen.select("content_hash").filter(F.col("content_hash").isNotNull())
-        first = first.join(hashes, "content_hash", "left_anti").select("url")
-        fresh = self._stage(found.join(first, "url", "left_semi"), "fresh", batch)
+        first = unseen(first, seen.filter(F.col("content_hash").isNotNull()), "content_hash")
+        fresh = self._stage(found.join(first.select("url"), "url", "left_semi"), "fresh", batch)
 
         # A full origin only waits; tries are limited for pages that cannot be fetched.
         full = tasks.filter(F.col("outcome") == "retry")
@@ -99,9 +101,13 @@ class CrawlWorker:
         final = (found.select("url", "content_hash").join(published, "url", "left")
                  .select("url", F.when(F.col("_new"), F.col("content_hash")).alias("content_hash")))
         given_up = failed.filter(F.col("topic") == TOPIC_DLQ).select("url", F.lit(None).cast("string").alias("content_hash"))
-        (final.unionByName(given_up).withColumn("batch", F.lit(batch))
+        (final.unionByName(given_up).withColumn("batch", F.lit(batch)).hint("rebalance")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
          .parquet(f"{self.home}/visited"))
+        # The batch before this one is committed, its working tables are not needed again.
+        work = Folder(self.spark, f"{self.home}/work")
+        for name in work.names(""):
+            work.delete(f"{name}/batch={batch - 1}")
 
     def start(self, files_per_trigger: int | None = None, **trigger) -> StreamingQuery:
         """One consumer group over the five task topics."""

@@ -72,6 +72,17 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     assert content(table) == before and "new" in before[0] and len(before) == 1
 
 
+def test_large_batches_merge_by_shuffle(spark, tmp_path, monkeypatch):
+    from crawlweave.sources import tables
+    monkeypatch.setattr(tables, "SMALL_BATCH", 0)
+    table = pages_table(spark, str(tmp_path / "big"), buckets=4)
+    table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "old", "x", None, i) for i in range(50)])), "b0")
+    table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "new", "x", None, i + (100 if i % 2 else -100)) for i in range(60)])), "b1")
+    rows = {r["url"]: r["title"] for r in table.read().collect()}
+    assert len(rows) == 60 and sum(t == "new" for t in rows.values()) == 25 + 10
+    assert [r["title"] for r in table.get("https://h.com/1").collect()] == ["new"] and table.get("https://no/").count() == 0
+
+
 def test_hot_url_and_untouched_buckets(spark, tmp_path):
     table = pages_table(spark, str(tmp_path / "hot"), buckets=8)
     table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "t", "x", None, i) for i in range(200)])), "b0")
