@@ -46,14 +46,18 @@ BLANKS = ("\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006
 # Runs to shorten: all but a single plain blank.
 WHITESPACE = re.compile(f" [{BLANKS}]+|[{BLANKS.replace(' ', '')}][{BLANKS}]*")
 _BLANK = "\t\n\x0c\r "
+# After a tag name: anything up to the '>' that is not inside a quoted value.
+_REST = r"""(?:[^>=]++|=[\t\n\f\r ]*+(?:"[^"]*+"|'[^']*+'|[^\t\n\f\r >"'][^\t\n\f\r >]*+|(?=>)))*+"""
+_NAME = r"[A-Za-z][^\t\n\f\r />]*+"
+# Comment; doctype or bogus comment; bogus end tag; tag.
 _TOKEN = re.compile(
-    r"""<(?:
-      !--(?:-?>|.*?(?:--!?>|\Z))                 # comment
-     |[!?][^>]*(?:>|\Z)                          # doctype or bogus comment
-     |/(?![A-Za-z])[^>]*(?:>|\Z)                 # bogus end tag
-     |(?P<end>/)?(?P<tag>[A-Za-z][^\t\n\f\r />]*+)
-      (?P<attrs>(?:[^>=]++|=[\t\n\f\r ]*+(?:"[^"]*+"|'[^']*+'|[^\t\n\f\r >"'][^\t\n\f\r >]*+|(?=>)))*+)(?P<close>>)?
-    )""", re.S | re.X)
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|/(?![A-Za-z])[^>]*(?:>|\Z)"
+    rf"|(?P<end>/)?(?P<tag>{_NAME})(?P<attrs>{_REST})(?P<close>>)?)", re.S)
+# Tags of a body that only separate text: all end tags, and start tags without meaning for text and links.
+_MEANT = "|".join(sorted({"a", "plaintext"} | RAW_TEXT | ESCAPABLE_RAW_TEXT))
+_PLAIN_TAG = rf"<(?:/|(?!(?:{_MEANT})[\t\n\f\r />])){_NAME}{_REST}>"
+_RUN = re.compile(rf"(?:[^<]++|<(?![A-Za-z/!?])|{_PLAIN_TAG})*+", re.I)
+_SEPARATOR = re.compile(rf"</?{_NAME}{_REST}>")
 _ATTR = re.compile(
     r"""([^\t\n\f\r />=][^\t\n\f\r />=]*)(?:[\t\n\f\r ]*=[\t\n\f\r ]*(?:"([^"]*)"|'([^']*)'|([^\t\n\f\r >]*)))?""",
     re.S)
@@ -200,6 +204,13 @@ def read_page(html: str, selectors: list[Selector] | None = None) -> tuple[str |
     held = False
     pos, size = 0, len(html)
     while pos < size:
+        if body_from is not None and not elements:
+            run = _RUN.match(html, pos)
+            if run.end() > pos:
+                parts = _SEPARATOR.split(html[pos:run.end()])
+                texts += map(decode_text, parts) if "&" in run[0] else parts
+                pos = run.end()
+                continue
         at = html.find("<", pos)
         token = None
         while at >= 0:

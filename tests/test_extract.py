@@ -1,8 +1,11 @@
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from crawlweave.functions import html
 from crawlweave.functions.html import parse_selectors, read_page
 from crawlweave.functions.text import collapse_whitespace
 from crawlweave.operators.extract import extract_pages, page_results, result_json
@@ -25,7 +28,7 @@ from crawlweave.operators.extract import extract_pages, page_results, result_jso
     ("a<!-- open", None, "a", []),
     ("a<p title=\"x>y\">b<br/>c", None, "abc", []),
 ])
-def test_read_page(html, title, text, links):
+def test_read_page(html, title, text, links):  # noqa: F811
     assert read_page(html) == (title, text, links)
 
 
@@ -77,3 +80,19 @@ def test_html_is_kept_only_with_selectors(spark):
 def test_collapse_whitespace_column(spark):
     row = spark.createDataFrame([(" a \n b﻿",)], "t string").select(collapse_whitespace(F.col("t")).alias("t")).first()
     assert row["t"] == "a b"
+
+
+class _NoRun:
+    def match(self, text, at):
+        return re.compile("").match(text, at)
+
+
+def test_long_runs_agree_with_tag_by_tag_reading(monkeypatch):
+    rng = random.Random(1)
+    pieces = ["<p>", "</p>", '<b x="<a href=q>">', "<a href=u>", "</a>", "<!-- c -->", "<br/>", "text", "&amp;", "&am", "p;", "<",
+              "<3", "</>", "<script>", "</script>", "<title>", "</title>", '<A HREF="v">', "<abbr>", "<p a='", '"', ">", "<body>",
+              "<head>", "</", "<!x>", "<textarea>", "</textarea>", " ", "&lt", "<template>", "</template>", "<a", "<titlex>"]
+    pages = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    quick = [read_page(page) for page in pages]
+    monkeypatch.setattr(html, "_RUN", _NoRun())
+    assert [read_page(page) for page in pages] == quick
