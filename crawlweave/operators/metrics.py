@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from crawlweave.functions.text import order_key
@@ -29,6 +29,12 @@ def links_enqueued(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("outcome") == "ok").agg(F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"))
 
 
+def observed(rows: DataFrame, name: str | Observation) -> DataFrame:
+    """Count outcomes while a job runs; read them from an ``Observation`` or the query's progress."""
+    outcome = F.col("outcome")
+    return rows.observe(name, F.count("*").alias("rows"), *[F.count_if(outcome == o).alias(o) for o in ("ok", "retry", "dlq")])
+
+
 def stage_totals(outcomes: DataFrame) -> DataFrame:
     """Rows each stage finished."""
     return outcomes.filter(F.col("outcome") == "ok").groupBy("stage").agg(F.count("*").alias("n"))
@@ -56,7 +62,7 @@ def _level(steps: DataFrame, slice_seconds: int) -> DataFrame:
         "origin", "ts", (F.col("base") + F.col("run") - lowest).alias("inflight"))
 
 
-def inflight_by_origin(fetches: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def inflight_by_origin(fetches: DataFrame, slice_seconds: int = 600) -> DataFrame:
     """Open fetches per origin at every start or end."""
     steps = fetches.select("origin", F.explode(F.array(
         F.struct(F.col("started_at").alias("ts"), F.lit(1).alias("step")),
@@ -64,7 +70,7 @@ def inflight_by_origin(fetches: DataFrame, slice_seconds: int = 3600) -> DataFra
     return _level(steps, slice_seconds)
 
 
-def peak_inflight(fetches: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def peak_inflight(fetches: DataFrame, slice_seconds: int = 600) -> DataFrame:
     return inflight_by_origin(fetches, slice_seconds).groupBy("origin").agg(F.max("inflight").alias("peak"))
 
 

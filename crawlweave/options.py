@@ -19,12 +19,12 @@ TASK_TOPICS = (TOPIC_PRIORITY, TOPIC_REVISIT, TOPIC_INITIAL, TOPIC_RETRY_30S, TO
 RESULT_TOPICS = (TOPIC_RESULTS_DB, TOPIC_RESULTS_RAW)
 RETRY_DELAY_SECONDS = {TOPIC_RETRY_30S: 30, TOPIC_RETRY_5M: 300}
 
-# Consumer groups; each is one streaming query with its own checkpoint.
+# Consumer groups; each is one streaming query with its own checkpoint.
 GROUP_WORKER = "workers"
-GROUP_DB = "collector-mongo"
-GROUP_RAW = "collector-raw"
-GROUP_EMB = "collector-embed"
-GROUP_AI = "ai-enricher"
+GROUP_ENRICH = "enrichers"
+GROUP_PAGES = "page-writers"
+GROUP_EMBEDDINGS = "embedding-writers"
+GROUP_LAKE = "lake-writers"
 
 # Limits.
 MAX_DEPTH = 3

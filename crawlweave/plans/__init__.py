@@ -1,0 +1 @@
+"""Whole jobs and the named queries."""

@@ -1,0 +1 @@
+"""Sources and sinks: topics, page snapshots, the raw lake, keyed tables."""

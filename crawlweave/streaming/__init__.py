@@ -1,0 +1 @@
+"""The same operators inside Structured Streaming."""

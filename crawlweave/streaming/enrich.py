@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlweave.operators.enrich import Classifier, default_rule, enrich_and_requeue
-from crawlweave.options import GROUP_AI, TOPIC_RESULTS_DB
+from crawlweave.options import GROUP_ENRICH, TOPIC_RESULTS_DB
 from crawlweave.sources.topics import read_topics, write_topics
 
 
@@ -19,6 +19,6 @@ def stream_enrich(spark: SparkSession, log: str, checkpoint: str, fn: Classifier
                   files_per_trigger: int | None = None, **trigger) -> StreamingQuery:
     """Read ``results.db`` from a topic folder and write the enriched and priority topics to it."""
     results = read_topics(spark, log, [TOPIC_RESULTS_DB], streaming=True, files_per_trigger=files_per_trigger)
-    return (results.writeStream.queryName(GROUP_AI).option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda batch, n: enrich_batch(batch, log, f"{GROUP_AI}-{n}", fn))
+    return (results.writeStream.queryName(GROUP_ENRICH).option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, n: enrich_batch(batch, log, f"{GROUP_ENRICH}-{n}", fn))
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from crawlweave.functions.urls import origin_of
 from crawlweave.operators.dedupe import new_urls, unseen
 from crawlweave.operators.extract import extract_pages, page_results, result_json
-from crawlweave.operators.gates import child_tasks, depth_gate, origin_cap, robots_gate
-from crawlweave.operators.links import same_origin_links
+from crawlweave.operators.gates import depth_gate, origin_cap, robots_gate
+from crawlweave.operators.links import site_links
 from crawlweave.operators.routing import route_outcomes
-from crawlweave.operators.validate import validate_tasks
+from crawlweave.operators.validate import result_is_valid, validate_tasks
 from crawlweave.options import GROUP_WORKER, TASK_TOPICS, TOPIC_DLQ, TOPIC_INITIAL, CrawlOptions
 from crawlweave.sources.folder import Folder
 from crawlweave.sources.snapshot import snapshot_fetch
@@ -24,6 +26,7 @@ VISITED = T.StructType([
     T.StructField("content_hash", T.StringType()),
     T.StructField("batch", T.LongType()),
 ])
+OUTCOME = ("url", "timestamp", "outcome", "reason")
 CARRIED = ("topic", "offset", "timestamp", "key", "value", "headers")
 
 
@@ -37,13 +40,9 @@ class CrawlWorker:
 
     def visited(self, before: int | None = None) -> DataFrame:
         """Addresses with a final outcome and the content hashes published, of the batches before one."""
-        empty = self.spark.createDataFrame([], VISITED)
-        try:
-            rows = self.spark.read.schema(VISITED).parquet(f"{self.home}/visited")
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return empty
+        if not Folder(self.spark, self.home).exists("visited"):
+            return self.spark.createDataFrame([], VISITED)
+        rows = self.spark.read.schema(VISITED).parquet(f"{self.home}/visited")
         return rows if before is None else rows.filter(F.col("batch") < before)
 
     def _stage(self, rows: DataFrame, name: str, batch: int) -> DataFrame:
@@ -77,25 +76,34 @@ class CrawlWorker:
         fetched = extract_pages(snapshot_fetch(due, self.snapshot), options.include_selectors,
                                 keep_html=bool(options.include_selectors))
         fetched = self._stage(fetched, "fetched", batch)
-        failed = route_outcomes(fetched.filter(F.col("outcome") == "retry").select(*CARRIED, "outcome", "url"),
+        failed = route_outcomes(fetched.filter(F.col("outcome") == "retry").select(*CARRIED, "outcome", "reason", "url"),
                                 options.max_attempts)
 
         found = fetched.filter(F.col("outcome") == "ok")
         first = found.groupBy("content_hash").agg(F.min("url").alias("url"))
         first = unseen(first, seen.filter(F.col("content_hash").isNotNull()), "content_hash")
-        fresh = self._stage(found.join(first.select("url"), "url", "left_semi"), "fresh", batch)
+        follow = F.col("depth") + 1 <= options.max_depth
+        fresh = self._stage(found.join(first.select("url"), "url", "left_semi").withColumn(
+            "site_links", F.when(follow, site_links("url", "links"))).drop("links"), "fresh", batch)
 
         # A full origin only waits; tries are limited for pages that cannot be fetched.
         full = tasks.filter(F.col("outcome") == "retry")
-        again = route_outcomes(bad.select(*CARRIED, "outcome").unionByName(full.select(*CARRIED, "outcome")))
-        links = same_origin_links(child_tasks(fresh.select("url", "depth", "links"), options.max_depth))
-        links = to_task_messages(links.select(F.col("link").alias("url"), "depth"), TOPIC_INITIAL)
-        results = page_results(fresh.withColumnRenamed("timestamp", "fetched_at"), selectors=options.include_selectors)
-        results = to_result_messages(results, result_json(results))
-        messages_out = ["topic", "key", "value", "headers"]
-        out = again.select(*messages_out).unionByName(failed.select(*messages_out))
-        out = out.unionByName(links, allowMissingColumns=True).unionByName(results, allowMissingColumns=True)
-        write_topics(out, self.log, label)
+        results = page_results(fresh.withColumn("fetched_at", F.col("timestamp")), selectors=options.include_selectors)
+        results = results.withColumn("outcome", F.when(result_is_valid(), "ok").otherwise("dlq"))
+        unfit = results.filter(F.col("outcome") == "dlq")
+        again = route_outcomes(reduce(DataFrame.unionByName, [
+            rows.select(*CARRIED, "outcome") for rows in (bad, full, unfit)])).drop("timestamp")
+        links = fresh.select(F.explode("site_links").alias("url"), (F.col("depth") + 1).alias("depth"))
+        good = results.filter(F.col("outcome") == "ok").select("sitesUrl", result_json(results).alias("_json"))
+        out = [again, failed, to_task_messages(links, TOPIC_INITIAL), to_result_messages(good, F.col("_json"))]
+        names = ["topic", "key", "value", "headers"]
+        write_topics(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                            [rows.select(*[c for c in names if c in rows.columns]) for rows in out]), self.log, label)
+        self._log_outcomes([
+            bad.select(*OUTCOME), full.select(*OUTCOME), failed.select(*OUTCOME),
+            results.select("url", "timestamp", "outcome",
+                           F.when(F.col("outcome") == "dlq", "result_schema").alias("reason"),
+                           F.coalesce(F.size("site_links"), F.lit(0)).alias("n_links"))], batch)
 
         published = fresh.select("url", F.lit(True).alias("_new"))
         final = (found.select("url", "content_hash").join(published, "url", "left")
@@ -109,6 +117,19 @@ class CrawlWorker:
         for name in work.names(""):
             work.delete(f"{name}/batch={batch - 1}")
 
+    def outcomes(self) -> DataFrame:
+        """The log the crawl metrics are computed from, one row per message that got an outcome."""
+        return self.spark.read.parquet(f"{self.home}/outcomes")
+
+    def _log_outcomes(self, parts: list[DataFrame], batch: int) -> None:
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        (rows.select(F.col("timestamp").alias("ts"), F.lit("worker").alias("stage"), "url", "outcome", "reason",
+                     F.lit("css" if self.options.include_selectors else "ai").alias("mode"), F.lit("kafka").alias("queue"),
+                     F.coalesce("n_links", F.lit(0)).alias("n_links"), F.lit(batch).alias("batch"))
+         .withColumn("origin", origin_of(F.col("url"))).hint("rebalance")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+         .parquet(f"{self.home}/outcomes"))
+
     def start(self, files_per_trigger: int | None = None, **trigger) -> StreamingQuery:
         """One consumer group over the five task topics."""
         tasks = read_topics(self.spark, self.log, TASK_TOPICS, streaming=True, files_per_trigger=files_per_trigger)

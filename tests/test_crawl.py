@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from crawlweave.operators import metrics
 from crawlweave.options import CrawlOptions
 from crawlweave.plans.derived import table, view
 from crawlweave.plans.frontier import crawl_frontier
@@ -79,6 +80,10 @@ def test_worker_equals_batch_crawl_and_restart_adds_nothing(spark, site, tmp_pat
     assert read_topics(spark, log, ["results.raw"]).count() == len(fresh)
     dead = read_topics(spark, log, ["crawl.initial.dlq"]).collect()
     assert [(json.loads(r["value"])["url"], r["headers"]["attempts"]) for r in dead] == [("https://h.com/4", "2")]
+    log_rows = worker.outcomes()
+    assert {(r["mode"], r["queue"], r["n"]) for r in metrics.pages_processed(log_rows).collect()} == {("ai", "kafka", len(fresh))}
+    assert {(r["reason"], r["n"]) for r in metrics.pages_failed(log_rows).collect()} == {("extract", 2)}
+    assert metrics.links_enqueued(log_rows).first()["n_links"] == 6
     assert CrawlWorker(spark, log, state, site, worker.options).drain() == 0
     publish(spark, seeds(spark, "https://h.com/0", "https://h.com/6"), log, "again")
     worker.drain()

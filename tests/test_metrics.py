@@ -1,5 +1,6 @@
 import random
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from crawlweave.operators import metrics
@@ -44,3 +45,10 @@ def test_gauge_ties(spark):
     rows = spark.createDataFrame([("x", 1, 1, 5.0), ("x", 1, 2, 6.0), ("x", 0, 9, 7.0)], "l string, s long, event_id long, value double")
     got = metrics.gauge_last(rows.withColumn("ts", F.timestamp_seconds("s")), ("l",)).first()
     assert got["value"] == 6.0
+
+
+def test_observed_outcomes(spark):
+    rows = spark.createDataFrame([("ok",), ("ok",), ("dlq",)], "outcome string")
+    seen = Observation("step")
+    metrics.observed(rows, seen).count()
+    assert seen.get == {"rows": 3, "ok": 2, "retry": 0, "dlq": 1}
