@@ -9,7 +9,7 @@ from crawlweave.operators.validate import parse_results, validate_enriched, vali
 from crawlweave.sources.topics import read_topics, to_task_messages, write_topics
 
 
-@pytest.mark.parametrize("value, reason, violations", [
+TASK_RULES = [
     ('{"url":"http://a.b/c","depth":0}', None, []),
     ('{"url":"http://a.b/c","depth":1.0,"priority":"high"}', None, []),
     ('{"url":"http://a.b/c","depth":1e2}', None, []),
@@ -26,18 +26,22 @@ from crawlweave.sources.topics import read_topics, to_task_messages, write_topic
     ('{"url":"http://a.b/ü","depth":1}', "schema", ["url:format"]),
     ('{"url":"http://a.b/c","depth":true}', "schema", ["depth:type"]),
     ('{"url":"http://a.b/c","depth":[1]}', "schema", ["depth:type"]),
-])
-def test_task_rules(spark, value, reason, violations):
-    row = validate_tasks(spark.createDataFrame([(value,)], "value string")).first()
-    assert (row["reason"], row["violations"]) == (reason, violations)
-    assert row["outcome"] == ("dlq" if reason else "ok") and (row["url"] is None) == bool(reason)
+]
+
+
+def test_task_rules(spark):
+    rows = spark.createDataFrame([(i, case[0]) for i, case in enumerate(TASK_RULES)], "i int, value string")
+    for row in validate_tasks(rows).collect():
+        value, reason, violations = TASK_RULES[row["i"]]
+        assert (row["reason"], row["violations"]) == (reason, violations), value
+        assert row["outcome"] == ("dlq" if reason else "ok") and (row["url"] is None) == bool(reason)
 
 
 GOOD = ('{"sitesUrl":"http://a.b/","title":null,"body":null,"html":"","more":1,"meta":{"fetchedAt":"2024-02-29T10:00:00Z",'
         '"domain":"a.b","selector_mode":"ai","contentHash":"c","aiConfidence":1,"odd":[1]}}')
 
 
-@pytest.mark.parametrize("old, new, violations", [
+RESULT_RULES = [
     ("", "", []),
     ('"title":null', '"title":7', ["title:type"]),
     ('"html":""', '"html":null', ["html:type"]),
@@ -47,28 +51,39 @@ GOOD = ('{"sitesUrl":"http://a.b/","title":null,"body":null,"html":"","more":1,"
     ('"aiConfidence":1', '"aiConfidence":"high"', ["meta.aiConfidence:type"]),
     ('"more":1', '"detectedType":null', ["detectedType:type", "detectedType:enum"]),
     ('"more":1', '"detectedType":"auction"', ["detectedType:enum"]),
-])
-def test_result_rules(spark, old, new, violations):
-    rows = spark.createDataFrame([(GOOD.replace(old, new) if old else GOOD,)], "value string")
-    assert validate_enriched(rows).first()["violations"] == violations
-    plain = [v for v in violations if not v.startswith("detectedType")]
-    assert validate_results(rows).first()["violations"] == plain
+]
+
 
+def test_result_rules(spark):
+    rows = [(i, GOOD.replace(old, new) if old else GOOD) for i, (old, new, _) in enumerate(RESULT_RULES)]
+    frame = spark.createDataFrame(rows, "i int, value string")
+    strict = {r["i"]: r["violations"] for r in validate_enriched(frame).collect()}
+    plain = {r["i"]: r["violations"] for r in validate_results(frame).collect()}
+    for i, (old, new, violations) in enumerate(RESULT_RULES):
+        assert strict[i] == violations, new
+        assert plain[i] == [v for v in violations if not v.startswith("detectedType")], new
 
-@pytest.mark.parametrize("text, good", [
+
+DATE_TIME = [
     ("2024-01-01T00:00:00Z", True), ("2024-01-01t00:00:00.5+01:00", True), ("2024-01-01 00:00:00z", True),
     ("2024-01-01T00:00:00", False), ("2024-01-01", False), ("2024-13-01T00:00:00Z", False), ("2024-04-31T00:00:00Z", False),
     ("1900-02-29T00:00:00Z", False), ("2000-02-29T00:00:00Z", True), ("2024-01-01T24:00:00Z", False),
-    ("2016-12-31T23:59:60Z", True), ("2016-12-31T18:59:60-05:00", True), ("2016-12-31T22:59:60Z", False), ("yesterday", False)])
-def test_date_time(spark, text, good):
-    assert spark.createDataFrame([(text,)], "t string").select(is_date_time(F.col("t"))).first()[0] is good
+    ("2016-12-31T23:59:60Z", True), ("2016-12-31T18:59:60-05:00", True), ("2016-12-31T22:59:60Z", False), ("yesterday", False)]
+
 
+def test_date_time(spark):
+    rows = spark.createDataFrame(DATE_TIME, "t string, good boolean").select("t", "good", is_date_time(F.col("t")).alias("got"))
+    assert [r["t"] for r in rows.collect() if r["got"] != r["good"]] == []
 
-@pytest.mark.parametrize("text, good", [
+
+URI = [
     ("http://a.b/c?d=e#f", True), ("urn:a:b", True), ("mailto:x@y.z", True), ("http://[::1]:80/", True), ("a/b", False),
-    ("http://a b/", False), ("http://a/%zz", False), ("//a/b", False), ("http://a/{x}", False), ("1http://a", False)])
-def test_uri(spark, text, good):
-    assert spark.createDataFrame([(text,)], "t string").select(is_uri(F.col("t"))).first()[0] is good
+    ("http://a b/", False), ("http://a/%zz", False), ("//a/b", False), ("http://a/{x}", False), ("1http://a", False)]
+
+
+def test_uri(spark):
+    rows = spark.createDataFrame(URI, "t string, good boolean").select("t", "good", is_uri(F.col("t")).alias("got"))
+    assert [r["t"] for r in rows.collect() if r["got"] != r["good"]] == []
 
 
 def test_routing_table(spark):
@@ -136,13 +151,15 @@ def test_status_triage(spark):
         ("ok", None), ("ok", None), ("fail", None), ("retry", 1000), ("retry", 2000), ("fail", None)]
 
 
-@pytest.mark.parametrize("url, label", [
+DEFAULT_RULE = [
     ("https://h.com/da/123", "product"), ("https://h.com/da/123?x=1", "product"), ("https://h.com/123", "product"),
     ("https://h.com/p?x=/a/12", "product"), ("https://h.com/AUKTION/x", "product"), ("https://h.com/da/123/", "page"),
-    ("https://h.com/da/123#t", "page"), (None, "page")])
-def test_default_rule(spark, url, label):
-    row = classify(spark.createDataFrame([(url,)], "url string")).first()
-    assert (row["label"], row["confidence"]) == (label, 0.85 if label == "product" else 0.6)
+    ("https://h.com/da/123#t", "page"), (None, "page")]
+
+
+def test_default_rule(spark):
+    for row in classify(spark.createDataFrame(DEFAULT_RULE, "url string, want string")).collect():
+        assert (row["label"], row["confidence"]) == (row["want"], 0.85 if row["want"] == "product" else 0.6), row["url"]
 
 
 def test_missing_label_fails(spark):
