@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crawlweave.functions.text import order_key
 from crawlweave.operators import gates, routing, validate
 from crawlweave.operators.dedupe import new_urls
-from crawlweave.operators.extract import fingerprints, page_results, result_json
+from crawlweave.operators.extract import extract_pages, fingerprints, page_results
 from crawlweave.operators.links import same_origin_links
 from crawlweave.options import TASK_TOPICS
 from crawlweave.plans.derived import spread, table, view
@@ -131,7 +130,8 @@ judged AS (
     CASE WHEN json_type(value, '$.html') <> 'VARCHAR' THEN 'html:type' END,
     CASE WHEN m IS NULL THEN 'meta:required' END, CASE WHEN m <> 'OBJECT' THEN 'meta:type' END,
     CASE WHEN m = 'OBJECT' AND json_type(value, '$.meta.fetchedAt') IS NULL THEN 'meta.fetchedAt:required' END,
-    CASE WHEN json_type(value, '$.meta.fetchedAt') = 'VARCHAR' AND TRY_CAST(json_extract_string(value, '$.meta.fetchedAt') AS TIMESTAMPTZ) IS NULL THEN 'meta.fetchedAt:format' END,
+    CASE WHEN json_type(value, '$.meta.fetchedAt') = 'VARCHAR'
+      AND TRY_CAST(json_extract_string(value, '$.meta.fetchedAt') AS TIMESTAMPTZ) IS NULL THEN 'meta.fetchedAt:format' END,
     CASE WHEN m = 'OBJECT' AND json_type(value, '$.meta.domain') IS NULL THEN 'meta.domain:required' END,
     CASE WHEN m = 'OBJECT' AND json_type(value, '$.meta.selector_mode') IS NULL THEN 'meta.selector_mode:required' END,
     CASE WHEN m = 'OBJECT' AND json_type(value, '$.meta.contentHash') IS NULL THEN 'meta.contentHash:required' END,
@@ -201,7 +201,6 @@ SELECT DISTINCT page_id, url, regexp_replace(regexp_extract(url, '^(https?://[^/
   replace(replace(url_encode(href), '%2F', '/'), '%2C', ',') AS link
 FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM @pages) x""")
 def links_on_site(spark, folder):
-    from crawlweave.operators.extract import extract_pages
     pages = extract_pages(spread(table(spark, folder, "pages"))).select("page_id", "url", "links")
     return same_origin_links(pages)
 

@@ -10,6 +10,7 @@ from crawlweave.functions.urls import hostname_of
 from crawlweave.operators import embed as embedding
 from crawlweave.operators import enrich, extract, gates, vectors
 from crawlweave.operators.dedupe import new_content
+from crawlweave.operators.validate import parse_results
 from crawlweave.plans.derived import spread, table, view
 from crawlweave.plans.frontier import crawl_frontier
 from crawlweave.plans.registry import query
@@ -121,7 +122,6 @@ def custom_embedder(spark, folder):
 SELECT seq, json_extract_string(value, '$.body.children[0].text') AS text FROM v_results_raw
 WHERE json_extract_string(value, '$.body.children[0].text') <> ''""")
 def nonempty_text(spark, folder):
-    from crawlweave.operators.validate import parse_results
     docs = parse_results(view(spark, folder, "v_results_raw"))
     return gates.nonempty_text(docs).select("seq", "text")
 
@@ -148,11 +148,12 @@ n{n} AS MATERIALIZED (SELECT min(url) AS url FROM (SELECT * FROM f{n} WHERE h IS
 t{n + 1} AS MATERIALIZED (SELECT DISTINCT link AS url, f.depth + 1 AS depth FROM f{n} f JOIN n{n} USING (url) JOIN l USING (url) WHERE f.depth + 1 <= 3)"""
 
 
-_CRAWL = "WITH " + ",".join([
+CRAWL_WAVES = "WITH " + ",".join([
     """p AS MATERIALIZED (SELECT url, sha256(regexp_extract(html, '<p>(.*?)</p>', 1) || 'abcoff') AS h FROM v_graph_pages),
 l AS MATERIALIZED (SELECT DISTINCT url, regexp_extract(url, '^(https?://[^/]+)', 1) || regexp_extract(href, '^([^#]*)', 1) AS link
   FROM (SELECT url, unnest(regexp_extract_all(html, '<a href="(/[^"]*)"', 1)) AS href FROM v_graph_pages) x),
-t0 AS MATERIALIZED (SELECT url, depth FROM v_graph_tasks WHERE depth <= 3)"""] + [_wave(n) for n in range(4)]) + """
+t0 AS MATERIALIZED (SELECT url, depth FROM v_graph_tasks WHERE depth <= 3)"""] + [_wave(n) for n in range(4)])
+_CRAWL = CRAWL_WAVES + """
 SELECT url, CAST(depth AS BIGINT) AS depth, wave, CASE WHEN h IS NULL THEN 'retry' ELSE 'ok' END AS outcome,
   h AS content_hash, url IN (SELECT url FROM n0 UNION ALL SELECT url FROM n1 UNION ALL SELECT url FROM n2 UNION ALL SELECT url FROM n3) AS fresh
 FROM (""" + " UNION ALL ".join(f"SELECT url, depth, h, {n} AS wave FROM f{n}" for n in range(4)) + ") w"
