@@ -18,7 +18,8 @@ GRAM, WORD = 0, 1
 SPACE, END = 32, 10
 CHUNK = "chunk long, doc_ids array<bigint>, ends array<bigint>, held array<boolean>, text binary, kinds binary"
 REQUEST = "chunk long, kind int, code long, n long"
-BLOCK = 1 << 22
+BLOCK = 1 << 20
+SCALE = float(1 << 26)  # logarithms travel as whole numbers of this fraction
 
 
 def held_out(doc_id: Column) -> Column:
@@ -268,7 +269,8 @@ def _score(order: int, n_all: int, n_distinct: int):
         ids, held = [], []
         kind = answers.column("kind").to_numpy()
         code, value = answers.column("code").to_numpy().view(np.uint64), answers.column("value").to_numpy()
-        gram, word = (_Lookup(code[kind == k], value[kind == k]) for k in (GRAM, WORD))
+        gram = _Lookup(code[kind == GRAM], value[kind == GRAM] / SCALE)
+        word = _Lookup(code[kind == WORD], value[kind == WORD])
         for row in chunks.to_pylist():
             text = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"]), np.uint8)
             ends = np.array(row["ends"], np.int64)
@@ -305,14 +307,17 @@ def score_texts(docs: DataFrame, order: int = 6, burn_in: int = 1, samples: int
     texts of their own. An empty table gives no rows. Words and grams are told apart by 63-bit codes.
     """
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held"), F.col("text").cast("binary").alias("text"))
+    # small splits are drawn together, so that few chunks ask for the same grams
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    rows = rows.coalesce(max(1, -(-5 * size // (4 * chunk_bytes))))
     chunks = stored(rows.mapInArrow(_chunks(order, chunk_bytes), CHUNK), "hpy-chunks")
     asked = chunks.select("chunk", "kinds").mapInArrow(_requests, REQUEST)
     counts = stored(asked.groupBy("kind", "code").agg(F.sum("n").alias("c")), "hpy-counts")
     n_all, n_distinct = counts.where(F.col("kind") == WORD).agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     model = sampled_model(counts.where(F.col("kind") == GRAM).select("code", "c"), order, burn_in, samples, seed=seed)
-    values = model.select(F.lit(GRAM).alias("kind"), "code", F.log10("p").alias("value")).union(
-        counts.where(F.col("kind") == WORD).select("kind", "code", F.col("c").cast("double")))
+    values = model.select(F.lit(GRAM).alias("kind"), "code", F.round(F.log10("p") * SCALE).cast("long").alias("value")).union(
+        counts.where(F.col("kind") == WORD).select("kind", "code", "c"))
     answers = asked.join(values, ["kind", "code"]).select("chunk", "kind", "code", "value")
     found = chunks.select("chunk", "doc_ids", "ends", "held", "text").groupBy("chunk").cogroup(
         answers.groupBy("chunk")).applyInArrow(_score(order, n_all, n_distinct), (
