@@ -166,8 +166,11 @@ def nearest_neighbours(rows: DataFrame, k: int = 5, every: int = 50, trees: int
     classes = stored(vector_classes(vectors, k), "forest-classes")
     forests: dict[int, list[Tree]] = {}
     for size in classes.groupBy(F.size("vector").alias("d")).count().collect():
-        picked = classes.where(F.size("vector") == size["d"]).orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(
-            sample_rows).select("vector").toArrow()
+        key = F.xxhash64("vec_id", F.lit(seed))
+        # a share of the hashes that gives half more than wanted, so that few rows are sorted
+        near = F.pmod(key, F.lit(1 << 30)) <= (1 << 30) * min(1.0, 1.5 * sample_rows / size["count"])
+        picked = classes.where((F.size("vector") == size["d"]) & near).orderBy(
+            F.pmod(key, F.lit(1 << 30)), "vec_id").limit(sample_rows).select("vector").toArrow()
         forests[size["d"]] = grow_forest(_unit(matrix(picked.column("vector"))), trees,
                                          leaf_rows / max(1, size["count"]), seed)
     shared = spark.sparkContext.broadcast(forests)  # at most 2 * trees * sample_rows / 2 nodes
