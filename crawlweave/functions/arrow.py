@@ -9,7 +9,9 @@ import pyarrow as pa
 
 
 def matrix(vectors: pa.Array) -> np.ndarray:
-    """Vectors of equal length as a double matrix; the array must hold no nulls."""
+    """Vectors of equal length as a double matrix; null vectors and null components are refused."""
+    if vectors.null_count:
+        raise ValueError("null vectors have no place in a matrix")
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if len(vectors) == 0:

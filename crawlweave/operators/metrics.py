@@ -48,8 +48,8 @@ def _level(steps: DataFrame, slice_seconds: int) -> DataFrame:
     """
     slice_no = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (slice_seconds * 1_000_000))
     known = steps.withColumn("slice", slice_no).filter(F.col("origin").isNotNull() & F.col("slice").isNotNull())
-    # Both levels read the same exchange; the aggregate and the windows keep its partitioning.
-    moments = known.repartition("origin", "slice").groupBy("origin", "slice", "ts").agg(F.sum("step").alias("step"))
+    # Steps of an instant are summed before the exchange, so a busy origin sends instants, not fetches.
+    moments = known.groupBy("origin", "slice", "ts").agg(F.sum("step").alias("step"))
     inside = Window.partitionBy("origin", "slice").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     runs = moments.withColumn("run", F.sum("step").over(inside)).withColumn("low", F.min("run").over(inside))
     slices = runs.groupBy("origin", "slice").agg(F.sum("step").alias("total"), F.min("run").alias("lowest"))
@@ -88,21 +88,12 @@ def links_rate(outcomes: DataFrame, seconds: int = 60) -> DataFrame:
 
 
 def queue_depth(log: DataFrame, committed: DataFrame, offset: str = "offset") -> DataFrame:
-    """Messages past the committed offset, per topic; a topic nobody read is all backlog.
-
-    The marks (one row per topic) are sent to every task only after a look at their number.
-    """
-    marks = committed.select("topic", "committed")
-    backlog = log.join(F.broadcast(marks), "topic", "left") if _few_rows(marks) else log.join(marks, "topic", "left")
+    """Messages past the committed offset, per topic; a topic nobody read is all backlog."""
+    backlog = log.join(committed.select("topic", "committed"), "topic", "left")
     waiting = F.col(offset) > F.coalesce("committed", F.lit(-1))
     return backlog.groupBy("topic").agg(F.count_if(waiting).alias("depth"))
 
 
-def _few_rows(marks: DataFrame, limit: int = 10_000) -> bool:
-    """Whether a table of consumer marks is small enough to send everywhere; looks at no more than the limit."""
-    return marks.limit(limit + 1).count() <= limit
-
-
 def latency_histogram(events: DataFrame, value: str = "value", by: Sequence[str] = (),
                       buckets: Sequence[float] = LATENCY_BUCKETS) -> DataFrame:
     """Cumulative buckets with ``+Inf``, ``sum`` and ``count`` per label set, in one pass."""

@@ -53,17 +53,15 @@ def similar_pages(table: DataFrame, ref_url: str, k: int = 10) -> DataFrame:
             .orderBy(F.col("cosine_sim").desc_nulls_last(), "url").limit(k))
 
 
-def ivf_train(table: DataFrame, lists: int = IVF_LISTS, sample_rows: int = 100_000, seed: int = 17) -> KMeansModel:
-    """Centroids of the index. They are learned on a sample; every row of the table is indexed later."""
-    rows = table.select(array_to_vector("embedding").alias("features"))
-    total = table.count()
-    if total > sample_rows:
-        rows = rows.sample(sample_rows / total, seed)
+def ivf_train(table: DataFrame, lists: int = IVF_LISTS, seed: int = 17) -> KMeansModel:
+    """Centroids of the index, learned on all rows that have a vector."""
+    rows = table.filter(F.col("embedding").isNotNull()).select(array_to_vector("embedding").alias("features"))
     return KMeans(k=lists, seed=seed, maxIter=10).fit(rows)
 
 
 def ivf_assign(table: DataFrame, model: KMeansModel) -> DataFrame:
-    """Every row with the list of its nearest centroid."""
+    """Every row that has a vector with the list of its nearest centroid."""
+    table = table.filter(F.col("embedding").isNotNull())
     return (model.transform(table.withColumn("features", array_to_vector("embedding")))
             .withColumnRenamed("prediction", "list_id").drop("features"))
 

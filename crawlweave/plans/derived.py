@@ -162,15 +162,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a small input dealt out to all cores before a Python stage; a real input has splits enough.
-
-    Only for bare scans: the number of splits is asked for without running anything.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived view over the Parquet tables of a folder."""
     sql = _with(f"SELECT * FROM {name}").replace("@ts", "timestamp_ntz")

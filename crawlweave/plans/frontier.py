@@ -62,7 +62,8 @@ def crawl_frontier(spark: SparkSession, tasks: DataFrame, snapshot: DataFrame, p
         todo = (child_tasks(fetched.join(fresh.select("url"), "url", "left_semi").select("url", "depth"), max_depth)
                 .join(pages.select("url", "site_links"), "url")
                 .select(F.explode("site_links").alias("url"), "depth"))
-    fetched = spark.read.schema(FETCHED + ", wave int").parquet(f"{path}/fetched")
+    # exactly the waves of this call: the path may hold deeper ones of an earlier crawl
+    fetched = spark.read.schema(FETCHED + ", wave int").option("basePath", f"{path}/fetched").parquet(*done)
     fresh = fetched.filter(F.col("outcome") == "ok").select("url", "content_hash", "wave")
     if dedupe_content:
         fresh = first_per_key(fresh, "content_hash", ("wave", "url"))

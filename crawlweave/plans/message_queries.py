@@ -8,8 +8,8 @@ from crawlweave.operators import gates, routing, validate
 from crawlweave.operators.dedupe import new_urls
 from crawlweave.operators.extract import extract_pages, fingerprints, page_results
 from crawlweave.operators.links import same_origin_links
-from crawlweave.options import TASK_TOPICS
-from crawlweave.plans.derived import spread, table, view
+from crawlweave.options import MAX_DEPTH, TASK_TOPICS
+from crawlweave.plans.derived import table, view
 from crawlweave.plans.registry import query
 from crawlweave.session import scratch_path
 from crawlweave.sources import snapshot, topics
@@ -177,8 +177,8 @@ def results_of_pages(spark, folder):
 SELECT seq, url, depth, CASE WHEN depth + 1 <= 3 THEN depth + 1 END AS link_depth FROM v_tasks WHERE depth <= 3""")
 def depth_gate(spark, folder):
     kept = gates.depth_gate(view(spark, folder, "v_tasks"))
-    children = gates.child_tasks(kept).select("seq", F.col("depth").alias("link_depth"))
-    return kept.join(children, "seq", "left").select("seq", "url", "depth", "link_depth")
+    deeper = F.col("depth") + 1
+    return kept.select("seq", "url", "depth", F.when(deeper <= MAX_DEPTH, deeper).alias("link_depth"))
 
 
 @query("robots_gate", r"""
@@ -201,7 +201,7 @@ SELECT DISTINCT page_id, url, regexp_replace(regexp_extract(url, '^(https?://[^/
   replace(replace(url_encode(href), '%2F', '/'), '%2C', ',') AS link
 FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM @pages) x""")
 def links_on_site(spark, folder):
-    pages = extract_pages(spread(table(spark, folder, "pages"))).select("page_id", "url", "links")
+    pages = extract_pages(table(spark, folder, "pages")).select("page_id", "url", "links")
     return same_origin_links(pages)
 
 

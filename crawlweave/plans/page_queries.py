@@ -11,7 +11,7 @@ from crawlweave.operators import embed as embedding
 from crawlweave.operators import enrich, extract, gates, vectors
 from crawlweave.operators.dedupe import new_content
 from crawlweave.operators.validate import parse_results
-from crawlweave.plans.derived import spread, table, view
+from crawlweave.plans.derived import table, view
 from crawlweave.plans.frontier import crawl_frontier
 from crawlweave.plans.registry import query
 from crawlweave.session import scratch_path
@@ -30,7 +30,7 @@ extracted AS (
 
 
 def extracted(spark, folder):
-    return extract.extract_pages(spread(table(spark, folder, "pages")))
+    return extract.extract_pages(table(spark, folder, "pages"))
 
 
 @query("extract_pages", f"""WITH {_EXTRACTED.strip()}
@@ -52,7 +52,7 @@ _SELECTED = _CLEAN.format(
 SELECT page_id, url, text, sha256(text) AS content_hash, CAST(0 AS INT) AS n_links
 FROM (SELECT page_id, url, {_SELECTED} AS text FROM @pages) x""")
 def extract_selected(spark, folder):
-    found = extract.extract_pages(spread(table(spark, folder, "pages")), selectors=".ad, h1")
+    found = extract.extract_pages(table(spark, folder, "pages"), selectors=".ad, h1")
     return found.select("page_id", "url", "text", "content_hash", F.size("links").alias("n_links"))
 
 
@@ -101,7 +101,7 @@ SELECT doc_id, CAST(s AS INT) AS slot,
   round(coalesce(list_sum(list_transform(chars[s + 1:-:16], lambda c: unicode(c))), 0) / 255.0, 6) AS value
 FROM (SELECT doc_id, string_split(text, '') AS chars FROM @documents) d, range(16) r(s)""")
 def embed_text(spark, folder):
-    docs = embedding.embed(spread(table(spark, folder, "documents").select("doc_id", "text")), dim=16)
+    docs = embedding.embed(table(spark, folder, "documents").select("doc_id", "text"), dim=16)
     return docs.select("doc_id", F.posexplode("embedding").alias("slot", "value")).select(
         "doc_id", "slot", F.round("value", 6).alias("value"))
 
@@ -114,7 +114,7 @@ def custom_embedder(spark, folder):
     def letters(texts: pd.Series) -> pd.Series:
         return pd.Series([[float(text.count(chr(97 + i))) for i in range(26)] for text in texts])
 
-    docs = embedding.embed(spread(table(spark, folder, "documents").select("doc_id", "text")), letters, dim=26)
+    docs = embedding.embed(table(spark, folder, "documents").select("doc_id", "text"), letters, dim=26)
     return docs.select("doc_id", F.posexplode("embedding").alias("slot", "value"))
 
 
@@ -163,7 +163,7 @@ FROM (""" + " UNION ALL ".join(f"SELECT url, depth, h, {n} AS wave FROM f{n}" fo
 def crawl(spark, folder):
     tasks = view(spark, folder, "v_graph_tasks")
     snapshot = view(spark, folder, "v_graph_pages").select("url", "html")
-    found = crawl_frontier(spark, tasks, spread(snapshot), scratch_path(spark, "crawl"))
+    found = crawl_frontier(spark, tasks, snapshot, scratch_path(spark, "crawl"))
     return found.select("url", "depth", "wave", "outcome", "content_hash", "fresh")
 
 

@@ -49,6 +49,12 @@ def test_depth_limit_and_no_tasks(spark, site, tmp_path):
     assert crawl_frontier(spark, seeds(spark, "https://h.com/0", depth=4), site, str(tmp_path / "b")).count() == 0
 
 
+def test_a_reused_path_gives_the_waves_of_the_last_call_only(spark, site, tmp_path):
+    deep = crawl_frontier(spark, seeds(spark, "https://h.com/0"), site, str(tmp_path), max_depth=3).count()
+    assert deep > 1
+    assert crawl_frontier(spark, seeds(spark, "https://h.com/0"), site, str(tmp_path), max_depth=0).count() == 1
+
+
 def test_known_waves_without_content_dedupe(spark, tmp_path):
     """Seeds 0..6 of the derived link graph: 7, 18, 37, 85 known pages."""
     folder = "/root/testdata/sf0.01"
