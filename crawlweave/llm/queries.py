@@ -27,16 +27,7 @@ def _query(name: str, source: str, sql: str | None = None):
 EXTRA_CONVERSATION = "\\### Assistant: </turn> ok"
 
 
-@_query("op1_chat_windows", "conversations", r"""
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256
-FROM t GROUP BY conv_id""")
+@_query("op1_chat_windows", "conversations")
 def op1(turns: DataFrame) -> DataFrame:
     spark = turns.sparkSession
     more = spark.range(2).selectExpr(
@@ -53,9 +44,9 @@ def op2(docs: DataFrame) -> DataFrame:
 
 @_query("op3_top_inner_products", "embeddings", """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
