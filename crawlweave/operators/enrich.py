@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlweave.functions.text import first_text
 from crawlweave.functions.urls import message_key
+from crawlweave.operators.validate import is_readable
 from crawlweave.sources.topics import to_task_messages
 from crawlweave.options import TOPIC_ENRICHED, TOPIC_PRIORITY
 
@@ -49,8 +50,12 @@ def enrich_results(results: DataFrame, fn: Classifier = default_rule) -> DataFra
 
 
 def enrich_messages(messages: DataFrame, fn: Classifier = default_rule) -> DataFrame:
-    """Result messages -> enriched messages, working on the JSON so that unknown keys survive at every level."""
-    doc = F.parse_json("value")
+    """Result messages -> enriched messages, working on the JSON so that unknown keys survive at every level.
+
+    Messages that are no JSON objects have no result.
+    """
+    messages = messages.filter(is_readable(F.col("value")))
+    doc = F.try_parse_json("value")
     url = F.variant_get(doc, "$.sitesUrl", "string")
     text = F.coalesce(F.try_variant_get(doc, "$.body.children[0].text", "string"), F.lit(""))
 

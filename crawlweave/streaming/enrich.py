@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlweave.operators.enrich import Classifier, default_rule, enrich_and_requeue
-from crawlweave.options import GROUP_ENRICH, TOPIC_RESULTS_DB
+from crawlweave.operators.validate import is_readable
+from crawlweave.options import GROUP_ENRICH, TOPIC_DLQ, TOPIC_RESULTS_DB
 from crawlweave.sources.topics import read_topics, write_topics
 
 
 def enrich_batch(messages: DataFrame, log: str, batch: str, fn: Classifier = default_rule) -> None:
-    """Publish one batch to the enriched and priority topics."""
-    write_topics(enrich_and_requeue(messages, fn), log, batch)
+    """Publish one batch to the enriched and priority topics; unreadable messages go to the dead letters."""
+    unreadable = messages.filter(~is_readable(F.col("value"))).withColumn("topic", F.lit(TOPIC_DLQ))
+    write_topics(enrich_and_requeue(messages, fn).unionByName(unreadable, allowMissingColumns=True), log, batch)
 
 
 def stream_enrich(spark: SparkSession, log: str, checkpoint: str, fn: Classifier = default_rule,

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,12 @@ from crawlweave.operators.enrich import classify, enrich_messages, priority_task
 from crawlweave.operators.gates import origin_cap, robots_gate, robots_rules, status_triage
 from crawlweave.operators.routing import due_retries, route_outcomes, run_step
 from crawlweave.operators.validate import parse_results, validate_enriched, validate_results, validate_tasks
+from crawlweave.options import TOPIC_DLQ, TOPIC_ENRICHED
+from crawlweave.sources.lake import raw_lake_rows
+from crawlweave.sources.tables import pages_table, products_table
 from crawlweave.sources.topics import read_topics, to_task_messages, write_topics
+from crawlweave.streaming.collect import collect_documents
+from crawlweave.streaming.enrich import enrich_batch
 
 
 TASK_RULES = [
@@ -169,6 +176,22 @@ def test_missing_label_fails(spark):
         classify(rows, silent).collect()
 
 
+def test_malformed_results_do_not_stop_a_batch(spark, tmp_path):
+    columns = "topic string, key string, value string, timestamp timestamp, partition int, offset long"
+    moment = datetime.datetime(2024, 1, 1)
+    bad = ["{bad", "[1]", ""]
+    messages = spark.createDataFrame([("results.db", "k", v, moment, 0, n) for n, v in enumerate([GOOD, *bad])], columns)
+    enrich_batch(messages, f"{tmp_path}/log", "b0")
+    written = spark.read.parquet(f"{tmp_path}/log").collect()
+    assert sorted(r["value"] for r in written if r["topic"] == TOPIC_DLQ) == sorted(bad)
+    assert sum(r["topic"] == TOPIC_ENRICHED for r in written) == 1
+    assert raw_lake_rows(messages).select("value").collect() == [(GOOD,)]
+    pages, products = pages_table(spark, f"{tmp_path}/pages"), products_table(spark, f"{tmp_path}/products")
+    for batch in ("b0", "b1"):
+        collect_documents(messages, pages, products, batch)
+    assert pages.read().count() == 1
+
+
 def test_enrichment_keeps_unknown_keys(spark):
     row = enrich_messages(spark.createDataFrame([(GOOD,)], "value string")).first()
     doc = __import__("json").loads(row["value"])
