@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -365,3 +366,33 @@ def test_pipeline_stages(spark, docs, plain_ids):
     assert not any(t is None or not t.strip() for t in texts)
     packed = corpus_pipeline.STAGES[-1][1](spark, now, "")
     assert packed.agg(F.sum("length")).first()[0] == sum(len(plain_ids(t)) for t in texts)
+
+
+def test_large_group_of_near_copies_against_brute_force(spark):
+    rng = random.Random(5)
+    base = [f"w{n}" for n in range(120)]
+    rows = []
+    for n in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(words)))
+    rows += [(100 + n, " ".join([f"y{n}-{k}" for k in range(80)] + base[:60])) for n in range(20)]
+    sets = {i: {tuple(t.split()[k:k + 3]) for k in range(len(t.split()) - 2)} for i, t in rows}
+    up = {i: i for i in sets}
+    alike = [(a, b) for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    for _ in rows:
+        for a, b in alike:
+            up[a] = up[b] = min(up[a], up[b])
+    table = spark.createDataFrame(rows, "id long, text string")
+    for most in (2000, 16):
+        got = jaccard.similar_components(table, most=most).collect()
+        assert {r["id"]: r["component"] for r in got} == up
+        assert {r["id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in sets.items()}
+
+
+def test_stars_connect_the_same():
+    assert jaccard.stars([(1, 2), (2, 3), (5, 4), (6, 6)], 7) == [(2, 1), (3, 1), (5, 4)]
+    assert jaccard.stars([], 3) == []
+    assert [list(s) for s in jaccard.shared_codes([np.array([1, 2], np.uint64), np.array([2, 3], np.uint64),
+                                                   np.array([], np.uint64)])] == [[2], [2], []]
