@@ -94,7 +94,7 @@ def test_hot_url_and_untouched_buckets(spark, tmp_path):
 
 
 def test_died_job_is_finished_by_the_next_call(spark, tmp_path):
-    """A complete staging folder is moved into place; a half written one is dropped."""
+    """A complete staging folder is moved into place; a half written one is left alone by readers, dropped by the writer."""
     table = pages_table(spark, str(tmp_path / "crash"), buckets=4)
     table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "old", "x", None, i) for i in range(40)])), "b0")
     other = pages_table(spark, str(tmp_path / "other"), buckets=4)
@@ -106,6 +106,8 @@ def test_died_job_is_finished_by_the_next_call(spark, tmp_path):
     table._folder.fs.rename(table._folder._path(str(tmp_path / "crash/staging-data")), table._folder._path(str(tmp_path / "crash/staging/b1")))
     table._folder.fs.create(table._folder._path(str(tmp_path / "crash/staging/b1/_SUCCESS"))).close()
     assert {r["title"] for r in table.read().collect()} == {"new"}
+    assert table.read().count() == 40 and table._folder.names("staging") == ["half"]
+    table.upsert(page_rows(enriched(spark, [("https://h.com/1", "new", "x", None, 200)])), "b2")
     assert table.read().count() == 40 and not table._folder.names("staging")
 
 
