@@ -18,9 +18,9 @@ def keep_recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays, that with the smallest doc_id."""
+    """One document of each component of near copies (five words, similarity 0.8) stays, that with the smallest doc_id."""
     apply_defaults(spark)
-    return jaccard.without_near_copies(docs)
+    return jaccard.without_near_copies(docs, words=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -396,3 +396,24 @@ def test_stars_connect_the_same():
     assert jaccard.stars([], 3) == []
     assert [list(s) for s in jaccard.shared_codes([np.array([1, 2], np.uint64), np.array([2, 3], np.uint64),
                                                    np.array([], np.uint64)])] == [[2], [2], []]
+
+
+def test_near_copy_stage_against_brute_force_at_five_words(spark):
+    rng = random.Random(8)
+    rows = []
+    for n in range(12):
+        base = [f"b{n}x{k}" for k in range(100)]
+        for edits in range(6):
+            own = list(base)
+            for at in rng.sample(range(5, 95, 6), edits):
+                own[at] = f"e{n}x{edits}x{at}"
+            rows.append((len(rows), " ".join(own)))
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(96)} for _, t in rows]
+    near = [[100 * len(a & b) >= 80 * len(a | b) for b in sets] for a in sets]
+    least = list(range(len(rows)))
+    for _ in rows:
+        least = [min(least[m] for m in range(len(rows)) if near[n][m]) for n in range(len(rows))]
+    table = spark.createDataFrame([(*r, "en", "s", 1) for r in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = dict(corpus_pipeline.STAGES)["near_copies"](spark, table, "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(least)) and len(set(least)) == 48
