@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlweave.functions.arrow import matrix
@@ -73,7 +74,7 @@ def grow_forest(sample: np.ndarray, trees: int, leaf_share: float, seed: int) ->
 
 
 def search_leaves(forest: list[Tree], q: np.ndarray, visits: int) -> Iterator[tuple[int, int]]:
-    """The ``visits`` most promising (tree, leaf) pairs, by one queue for all trees.
+    """The ``visits`` most promising (tree, leaf) pairs (below 0: all), by one queue for all trees.
 
     A branch is as promising as the worst margin by which the query missed it on the way down.
     """
@@ -91,6 +92,21 @@ def search_leaves(forest: list[Tree], q: np.ndarray, visits: int) -> Iterator[tu
         visits -= 1
 
 
+def needed_visits(forest: list[Tree], queries: np.ndarray, wanted: list[np.ndarray], recall: float) -> int:
+    """The least visits with which the share ``recall`` of the wanted vectors is met; ``wanted`` has, for each query, a row
+    of leaves (one of each tree) for each vector."""
+    ranks = []
+    for q, leaves in zip(queries, wanted):
+        for n, (tree, leaf) in enumerate(search_leaves(forest, q, -1), 1):
+            if not len(leaves):
+                break
+            met = leaves[:, tree] == leaf
+            ranks += [n] * int(met.sum())
+            leaves = leaves[~met]
+    ranks.sort()
+    return ranks[math.ceil(recall * len(ranks)) - 1] if ranks else 0
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
@@ -109,13 +125,44 @@ def _index(forests):
     return run
 
 
-def _visit(forests, visits: int):
+def _exact(forests, trials, k: int):
+    """The k + 1 best classes of each trial query among a task's vectors, with their leaves in all trees."""
+    def run(batches: Batches) -> Batches:
+        held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for rows, x in by_dimension(batch, "vector"):
+                ids, asked = trials[x.shape[1]]
+                if not len(ids):
+                    continue
+                x = _unit(x)
+                members = np.empty(len(rows), object)
+                members[:] = batch.column("ids").take(pa.array(rows)).to_pylist()
+                score, vector = asked @ x.T, np.broadcast_to(x, (len(ids), *x.shape))
+                members = np.broadcast_to(members, (len(ids), len(rows)))
+                if x.shape[1] in held:
+                    score, members, vector = (np.concatenate([a, b], axis=1) for a, b in zip(
+                        held[x.shape[1]], (score, members, vector)))
+                top = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
+                held[x.shape[1]] = (np.take_along_axis(score, top, 1), np.take_along_axis(members, top, 1),
+                                    np.take_along_axis(vector, top[:, :, None], 1))
+        for d, (score, members, vector) in held.items():
+            leaves = np.stack([t.leaf_of(vector.reshape(-1, d)) for t in forests[d]], axis=1).reshape(*score.shape, -1)
+            out = [(d, t, i, score[t, c], leaves[t, c].tolist()) for t, own in enumerate(trials[d][0])
+                   for c in range(score.shape[1]) for i in members[t, c] if i != own]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), (
+                    pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int32())))],
+                    ["dim", "trial", "vec_id", "score", "leaves"])
+    return run
+
+
+def _visit(forests, visits: dict[int, int]):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for rows, x in by_dimension(batch, "vector"):
                 at, found = [], []
                 for n, q in zip(rows, _unit(x)):
-                    leaves = list(search_leaves(forests[x.shape[1]], q, visits))
+                    leaves = list(search_leaves(forests[x.shape[1]], q, visits[x.shape[1]]))
                     at += [n] * len(leaves)
                     found += leaves
                 part = batch.take(pa.array(at))
@@ -148,14 +195,16 @@ def _rerank(k: int):
 
 def nearest_neighbours(rows: DataFrame, k: int = 5, every: int = 50, trees: int = 12, leaf_rows: int = 128,
                        visits: int = 160, sample_rows: int = 20_000, query_chunk: int = 512,
-                       seed: int = 42) -> DataFrame:
+                       seed: int = 42, trials: int = 200, recall: float = 0.95) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest by cosine among the candidates that the forest gives.
 
     ``trees`` trees split by the median along the difference of two random vectors. They are fitted on the
     ``sample_rows`` distinct vectors with the least hashes (a bound on what the driver holds; with fewer, on all), for leaves of about
-    ``leaf_rows`` vectors. Every vector is indexed in one leaf of each tree. A query takes the ``visits`` best
-    leaves over all trees; all vectors in them are reranked exactly, in double precision, on the original vectors.
-    Recall against brute force is tested; more ``visits`` raise it. Leaves beyond what the sample can split grow with the table.
+    ``leaf_rows`` vectors. Every vector is indexed in one leaf of each tree. A query takes the best leaves over all trees;
+    all vectors in them are reranked exactly, in double precision, on the original vectors. How many leaves is found anew
+    for each table and vector length: ``trials`` queries (those with the least hashes) are scored against all vectors, and
+    as many leaves are taken as meet the share ``recall`` of their true neighbours, ``visits`` at least.
+    Leaves beyond what the sample can split grow with the table.
 
     Vectors that are null, empty, zero or hold null, NaN or infinity, and null ids take no part; vectors of different
     lengths never meet. Equal vectors are indexed once with the ids that can matter, so they cannot swell a leaf.
@@ -174,10 +223,28 @@ def nearest_neighbours(rows: DataFrame, k: int = 5, every: int = 50, trees: int
         forests[size["d"]] = grow_forest(_unit(matrix(picked.column("vector"))), trees,
                                          leaf_rows / max(1, size["count"]), seed)
     shared = spark.sparkContext.broadcast(forests)  # at most 2 * trees * sample_rows / 2 nodes
+    queries = stored(asked_queries(vectors, every), "forest-queries")
+    tried: dict[int, tuple[list[int], np.ndarray]] = {}
+    for d in forests:
+        picked = queries.where(F.size("vector") == d).orderBy(
+            F.xxhash64("query_id", F.lit(seed)), "query_id", "vector").limit(trials).toArrow()
+        tried[d] = picked.column("query_id").to_pylist(), _unit(matrix(picked.column("vector"))) if len(picked) else np.zeros((0, d))
+    asked_exactly = spark.sparkContext.broadcast(tried)
+    exact = classes.mapInArrow(arrow(lambda b: _exact(shared.value, asked_exactly.value, k)(b)),
+                               "dim int, trial int, vec_id long, score double, leaves array<int>")
+    order = Window.partitionBy("dim", "trial").orderBy(F.desc("score"), "vec_id")
+    true = exact.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).collect()  # trials * k rows a length
+    needed: dict[int, int] = {}
+    for d, (ids, asked) in tried.items():
+        wanted = [[] for _ in ids]
+        for row in true:
+            if row["dim"] == d:
+                wanted[row["trial"]].append(row["leaves"])
+        needed[d] = max(visits, needed_visits(forests[d], asked, [np.array(w).reshape(-1, trees) for w in wanted], recall))
     index = classes.mapInArrow(arrow(lambda b: _index(shared.value)(b)),
                                "dim int, tree int, leaf int, ids array<bigint>, vector array<double>")
-    visited = stored(asked_queries(vectors, every).mapInArrow(
-        arrow(lambda b: _visit(shared.value, visits)(b)),
+    visited = stored(queries.mapInArrow(
+        arrow(lambda b: _visit(shared.value, needed)(b)),
         "dim int, tree int, leaf int, query_id long, vector array<double>"), "forest-visits")
     # queries of a busy leaf are dealt in chunks; its vectors go to each chunk
     leaf = ["dim", "tree", "leaf"]

@@ -8,10 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from crawlweave.functions.arrow import vectors
 from crawlweave.llm import (chat, forest, hpylm, jaccard, language, mixing, packing, sharding, tokens, topk)
 from crawlweave.llm.common import stored
 
@@ -233,6 +236,32 @@ def test_histogram_packing_is_dense():
     assert (counts * np.arange(257)).sum() / (256 * used) > 0.97
 
 
+def test_forest_recall_with_production_parameters(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(100_000, 64)).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(x)), pa.int64()), "embedding": vectors(x)}),
+                   tmp_path / "embeddings.parquet")
+    got = forest.nearest_neighbours(spark.read.parquet(str(tmp_path / "embeddings.parquet")).repartition(16), every=1000).collect()
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    score = unit[::1000] @ unit.T
+    score[np.arange(100), np.arange(0, 100_000, 1000)] = -2
+    want = {(q * 1000, int(i)) for q, row in enumerate(np.argpartition(-score, 5)[:, :5]) for i in row}
+    assert len(got) == 500 and len(want & {(r["query_id"], r["vec_id"]) for r in got}) >= 0.9 * 500
+
+
+def test_visits_that_a_recall_needs():
+    x = forest._unit(np.random.default_rng(4).normal(size=(600, 8)))
+    trees = forest.grow_forest(x, 3, 16 / 600, 1)
+    leaves = np.array([t.leaf_of(x) for t in trees]).T
+    wanted = [np.argsort(-(x @ q))[1:6] for q in x[:40]]
+    for recall in (0.5, 0.9, 1.0):
+        n = forest.needed_visits(trees, x[:40], [leaves[w] for w in wanted], recall)
+        shares = [np.mean([any(leaves[j, t] == leaf for t, leaf in forest.search_leaves(trees, q, v))
+                           for q, w in zip(x[:40], wanted) for j in w]) for v in (n - 1, n)]
+        assert shares[0] < recall <= shares[1]
+    assert forest.needed_visits(trees, x[:1], [leaves[:0]], 0.9) == 0
+
+
 def test_automaton_accepts_exactly_the_substrings():
     text = np.random.default_rng(2).integers(0, 3, 60)
     go = language.suffix_automaton(text, 3)
