@@ -46,44 +46,82 @@ def suffix_automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
     return go[:made]
 
 
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).view(np.int64)
+
+
+def hash_table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (-1 where free) and values of an open table, at most a quarter full; a taken slot leads to the next."""
+    size = 1 << int(4 * len(keys) + 3).bit_length()
+    kept, value = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+    slot, todo = _slots(keys, size), np.arange(len(keys))
+    while len(todo):
+        free = todo[kept[slot[todo]] < 0]
+        kept[slot[free]] = keys[free]
+        placed = kept[slot[todo]] == keys[todo]
+        value[slot[todo[placed]]] = values[todo[placed]]
+        todo = todo[~placed]
+        slot[todo] = (slot[todo] + 1) & (size - 1)
+    return kept, value
+
+
 @dataclass
 class Languages:
-    """Automata of all languages in one table; ``code`` maps code points below its length to symbols."""
+    """Automata of all languages in one table of the transitions there are; ``code`` maps bytes to symbols."""
 
     names: list[str]
     code: np.ndarray
-    go: np.ndarray  # states of all languages one after the other, rows flattened, targets too
+    keys: np.ndarray  # state * symbols + symbol, the states of all languages one after the other
+    targets: np.ndarray
     starts: np.ndarray
     bits: np.ndarray  # of a phrase: log2 of the length of the language's sample
 
     @classmethod
-    def fit(cls, samples: dict[str, str], n_symbols: int = 64) -> Languages:
-        """The ``n_symbols - 1`` most frequent characters get symbols, all others share the last one."""
+    def fit(cls, samples: dict[str, str]) -> Languages:
+        """Texts are the UTF-8 bytes of their lower-cased form. Bytes that no sample holds share one symbol, which nothing
+        matches, so no text is told apart less for it."""
         names = sorted(samples)
-        texts = {k: _normal(samples[k]) for k in names}
-        points = np.concatenate([_points(t) for t in texts.values()]) if names else np.zeros(0, np.uint32)
-        code = np.full(0x3000, n_symbols - 1, np.uint8)
-        values, counts = np.unique(points[points < len(code)], return_counts=True)
-        chosen = values[np.lexsort((values, -counts))][:n_symbols - 1]
-        code[chosen] = np.arange(len(chosen))
-        tables, starts, at = [], [], 0
-        for name in names:
-            table = suffix_automaton(_symbols(texts[name], code), n_symbols)
+        texts = [_bytes(samples[k]) for k in names]
+        held = np.unique(np.concatenate([*texts, np.zeros(0, np.uint8)]))
+        code = np.full(256, len(held), np.uint8)  # UTF-8 has fewer than 256 different bytes
+        code[held] = np.arange(len(held))
+        width = len(held) + 1
+        keys, targets, starts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], 0
+        for text in texts:
+            table = suffix_automaton(code[text], width)
             starts.append(at)
-            tables.append((table.astype(np.int64).ravel() + at // n_symbols) * n_symbols)
-            at += table.size
-        go = np.concatenate(tables).astype(np.int32) if tables else np.zeros(0, np.int32)
-        bits = np.log2([max(2, len(texts[n])) for n in names])
-        return cls(names, code, go, np.array(starts, np.int32), bits)
+            states = len(table)
+            table = table.ravel()
+            there = np.flatnonzero(table)
+            keys.append(there + at * width)
+            targets.append(table[there] + at)
+            at += states
+        bits = np.log2([max(2, len(t)) for t in texts])
+        return cls(names, code, *hash_table(np.concatenate(keys), np.concatenate(targets)), np.array(starts, np.int32), bits)
+
+    def _next(self, state: np.ndarray, symbols: np.ndarray, start: int) -> np.ndarray:
+        """The states that follow, ``start`` where there is no transition."""
+        wanted = state.astype(np.int64) * (int(self.code.max()) + 1) + symbols
+        slot = _slots(wanted, len(self.keys))
+        found = self.keys.take(slot)
+        after = np.where(found == wanted, self.targets.take(slot), np.int32(start))
+        todo = np.flatnonzero((found != wanted) & (found >= 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & (len(self.keys) - 1)
+            found = self.keys[slot[todo]]
+            hit = found == wanted[todo]
+            after[todo[hit]] = self.targets[slot[todo[hit]]]
+            todo = todo[~hit & (found >= 0)]
+        return after
 
     def phrases(self, texts: list[str]) -> np.ndarray:
-        """Phrases per (text, language): the longest match with the sample and the character after it make one.
+        """Phrases per (text, language): the longest match with the sample and the byte after it make one.
 
-        Texts are parsed in stretches of ``SEGMENT`` characters, all side by side, so the work per character is the
+        Texts are parsed in stretches of ``SEGMENT`` bytes, all side by side, so the work per byte is the
         same however long a text is; each stretch begins a phrase.
         """
         found = np.zeros((len(texts), len(self.names)), np.int64)
-        rows = [_symbols(_normal(t), self.code) for t in texts]
+        rows = [self.code[_bytes(t)] for t in texts]
         owner = np.repeat(np.arange(len(rows)), [-(-len(r) // SEGMENT) for r in rows])
         parts = [r[i:i + SEGMENT] for r in rows for i in range(0, len(r), SEGMENT)]
         lengths = np.array([len(p) for p in parts], np.int64)
@@ -99,7 +137,7 @@ class Languages:
                 m = active[step]
                 if not m:
                     break
-                now = self.go.take(state[:m] + block[step, :m])
+                now = self._next(state[:m], block[step, :m], start)
                 count[:m] += now == start
                 state[:m] = now
             # the phrase that the end of the text breaks off
@@ -121,16 +159,8 @@ class Languages:
         return [self.names[b] for b in best], score
 
 
-def _normal(text: str) -> str:
-    return text.lower()
-
-
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _symbols(text: str, code: np.ndarray) -> np.ndarray:
-    return code[np.minimum(_points(text), len(code) - 1)]
+def _bytes(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -165,7 +195,7 @@ def identify(docs: DataFrame, text: str = "text", model: Languages | None = None
     the language that is first by name. Other columns stay as they are.
     """
     model = model or learn_languages(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample: 2 * chars * 64 states a language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample: under 3 transitions a byte
     has_letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_letters")]
 

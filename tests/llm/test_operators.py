@@ -293,6 +293,19 @@ def test_phrases_equal_a_plain_parse():
             assert model.phrases([text])[0, k] == count
 
 
+def test_languages_in_scripts_with_many_characters():
+    rng = np.random.default_rng(3)
+    scripts = {"han1": (0x4e00, 900), "han2": (0x5e00, 900), "kana": (0x3041, 80), "hangul": (0xac00, 2000), "thai": (0xe01, 50),
+               "greek": (0x3b1, 24), "gothic": (0x10330, 26), "latin": (0x61, 26)}
+
+    def text(first, many, n):
+        return "".join(chr(first + c) for c in (rng.random(n) ** 3 * many).astype(int))
+    model = language.Languages.fit({k: text(*v, 8000) for k, v in scripts.items()})
+    texts = [(k, text(*v, 120)) for k, v in scripts.items() for _ in range(10)]
+    found, score = model.predict([t for _, t in texts])
+    assert found == [k for k, _ in texts] and (score > 0.5).all()
+
+
 def test_languages_on_the_held_out_fold(spark, small, docs, empty):
     table = spark.read.parquet(f"{small}/documents.parquet")
     got = language.identify_languages(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out")
