@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlweave.llm import chat, forest, hpylm, jaccard, language, mixing, packing, sharding, tokens, topk
+from crawlweave.llm import (chat, codes, forest, hpylm, jaccard, language, mixing, packing, repair, reputation, sharding, tokens,
+                           topk)
 from crawlweave.llm.common import table
 from crawlweave.session import apply_defaults
 
@@ -90,3 +91,69 @@ def op9(docs: DataFrame) -> DataFrame:
 @_query("op10_similar_documents", "documents")
 def op10(docs: DataFrame) -> DataFrame:
     return jaccard.jaccard_components(docs)
+
+
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    apply_defaults(spark)
+    return reputation.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+QUERIES["op11_url_filters"] = op11
+ORACLES["op11_url_filters"] = """
+WITH p AS (
+  SELECT row_number() OVER () AS rn, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+  FROM pages),
+u AS (
+  SELECT rn, page_id,
+    translate(coalesce(regexp_extract(rest, '^[^/?#]*', 0), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
+rules(rh, rp, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (
+  SELECT u.rn, rules.rh || rules.rp AS rule, rules.verdict,
+    row_number() OVER (PARTITION BY u.rn ORDER BY length(rules.rh || rules.rp) DESC, rules.verdict = 'block' DESC,
+                       rules.rh || rules.rp) AS pick
+  FROM u JOIN rules ON (u.host = rules.rh OR ends_with(u.host, '.' || rules.rh)) AND starts_with(u.path, rules.rp)),
+o AS (
+  SELECT doc_id, count(*) AS n, sum(bad) AS k FROM (
+    SELECT doc_id, CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic = 0 OR quality = 1 THEN 0 END AS bad FROM labels)
+  WHERE bad IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+h0 AS (
+  SELECT u.host, coalesce(sum(o.n), 0)::DOUBLE AS n, coalesce(sum(o.k), 0)::DOUBLE AS k FROM u LEFT JOIN o ON u.page_id = o.doc_id
+  GROUP BY u.host),
+h AS (
+  SELECT host, array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 1, 1),
+                                          len(string_split(host, '.'))), '.') AS domain,
+    string_split(host, '.')[-1] AS suffix, n, k FROM h0),
+g AS (SELECT CASE WHEN sum(n) > 0 THEN sum(k) / sum(n) ELSE 0.0 END AS rate FROM h),
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT rate FROM g) AS prior FROM h GROUP BY suffix),
+ms AS (SELECT 1.0 / least(greatest(CASE WHEN w > 0 THEN (d - e) / w ELSE 1e-4 END, 1e-4), 1.0) - 1.0 AS m FROM (
+  SELECT sum((k - n * prior) ^ 2) AS d, coalesce(sum(n * prior * (1 - prior)), 0) AS e,
+         coalesce(sum(n * (n - 1) * prior * (1 - prior)), 0) AS w FROM s0 WHERE n > 0)),
+s AS (SELECT suffix, (k + (SELECT m FROM ms) * prior) / (n + (SELECT m FROM ms)) AS mean FROM s0),
+d0 AS (SELECT domain, h.suffix, sum(n) AS n, sum(k) AS k, any_value(s.mean) AS prior FROM h JOIN s ON h.suffix = s.suffix
+       GROUP BY domain, h.suffix),
+md AS (SELECT 1.0 / least(greatest(CASE WHEN w > 0 THEN (d - e) / w ELSE 1e-4 END, 1e-4), 1.0) - 1.0 AS m FROM (
+  SELECT sum((k - n * prior) ^ 2) AS d, coalesce(sum(n * prior * (1 - prior)), 0) AS e,
+         coalesce(sum(n * (n - 1) * prior * (1 - prior)), 0) AS w FROM d0 WHERE n > 0)),
+dm AS (SELECT domain, suffix, (k + (SELECT m FROM md) * prior) / (n + (SELECT m FROM md)) AS mean FROM d0),
+h1 AS (SELECT h.host, h.n, h.k, dm.mean AS prior FROM h JOIN dm ON h.domain = dm.domain AND h.suffix = dm.suffix),
+mh AS (SELECT 1.0 / least(greatest(CASE WHEN w > 0 THEN (d - e) / w ELSE 1e-4 END, 1e-4), 1.0) - 1.0 AS m FROM (
+  SELECT sum((k - n * prior) ^ 2) AS d, coalesce(sum(n * prior * (1 - prior)), 0) AS e,
+         coalesce(sum(n * (n - 1) * prior * (1 - prior)), 0) AS w FROM h1 WHERE n > 0)),
+ab AS (SELECT host, k + (SELECT m FROM mh) * prior AS a, n - k + (SELECT m FROM mh) * (1 - prior) AS b FROM h1),
+rep AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) ^ 2 * (a + b + 1))) > 0.5 AS bad_host FROM ab)
+SELECT u.page_id, u.host, u.path, f.rule,
+  coalesce(f.verdict, CASE WHEN coalesce(rep.bad_host, false) THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN (SELECT * FROM fits WHERE pick = 1) f ON u.rn = f.rn LEFT JOIN rep ON u.host = rep.host
+"""
+
+
+@_query("op13_vector_codes", "embeddings")
+def op13(rows: DataFrame) -> DataFrame:
+    return codes.compress_vectors(rows)
+
+
+@_query("op12_conversation_repair", "conversations")
+def op12(turns: DataFrame) -> DataFrame:
+    return repair.repaired_table(turns)
