@@ -74,15 +74,15 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     assert content(table) == before and "new" in before[0] and len(before) == 1
 
 
-def test_large_batches_merge_by_shuffle(spark, tmp_path, monkeypatch):
-    from crawlweave.sources import tables
-    monkeypatch.setattr(tables, "SMALL_BATCH", 0)
+def test_older_versions_lose_to_newer_in_any_batch(spark, tmp_path):
     table = pages_table(spark, str(tmp_path / "big"), buckets=4)
     table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "old", "x", None, i) for i in range(50)])), "b0")
     table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "new", "x", None, i + (100 if i % 2 else -100)) for i in range(60)])), "b1")
     rows = {r["url"]: r["title"] for r in table.read().collect()}
     assert len(rows) == 60 and sum(t == "new" for t in rows.values()) == 25 + 10
     assert [r["title"] for r in table.get("https://h.com/1").collect()] == ["new"] and table.get("https://no/").count() == 0
+    table.compact()
+    assert {r["url"]: r["title"] for r in table.read().collect()} == rows
 
 
 def test_hot_url_and_untouched_buckets(spark, tmp_path):
@@ -93,22 +93,49 @@ def test_hot_url_and_untouched_buckets(spark, tmp_path):
     assert len(rows) == 200 and rows["https://h.com/7"] == "n499"
 
 
-def test_died_job_is_finished_by_the_next_call(spark, tmp_path):
-    """A complete staging folder is moved into place; a half written one is left alone by readers, dropped by the writer."""
+def test_died_job_leaves_nothing_that_is_read(spark, tmp_path):
+    """A delta without its version file is never read; running the batch again writes it anew."""
     table = pages_table(spark, str(tmp_path / "crash"), buckets=4)
     table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "old", "x", None, i) for i in range(40)])), "b0")
-    other = pages_table(spark, str(tmp_path / "other"), buckets=4)
-    other.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "new", "x", None, i + 100) for i in range(40)])), "b1")
-    other._folder.fs.rename(other._folder._path(str(tmp_path / "other/data")), table._folder._path(str(tmp_path / "crash/staging-data")))
-    table._folder.fs.mkdirs(table._folder._path(str(tmp_path / "crash/staging/half/bucket=0")))
-    assert {r["title"] for r in table.read().collect()} == {"old"}
-    table._folder.fs.mkdirs(table._folder._path(str(tmp_path / "crash/staging")))
-    table._folder.fs.rename(table._folder._path(str(tmp_path / "crash/staging-data")), table._folder._path(str(tmp_path / "crash/staging/b1")))
-    table._folder.fs.create(table._folder._path(str(tmp_path / "crash/staging/b1/_SUCCESS"))).close()
-    assert {r["title"] for r in table.read().collect()} == {"new"}
-    assert table.read().count() == 40 and table._folder.names("staging") == ["half"]
-    table.upsert(page_rows(enriched(spark, [("https://h.com/1", "new", "x", None, 200)])), "b2")
-    assert table.read().count() == 40 and not table._folder.names("staging")
+    new = page_rows(enriched(spark, [(f"https://h.com/{i}", "new", "x", None, i + 100) for i in range(40)]))
+    publish = table._publish
+    table._publish = lambda version: (_ for _ in ()).throw(RuntimeError("died before its version file"))
+    with pytest.raises(RuntimeError):
+        table.upsert(new, "b1")
+    table._publish = publish
+    assert {r["title"] for r in table.read().collect()} == {"old"} and len(table._folder.names("deltas")) == 2
+    table.upsert(new, "b1")
+    assert {r["title"] for r in table.read().collect()} == {"new"} and table.read().count() == 40
+
+
+def test_a_reader_never_harms_the_writer(spark, tmp_path):
+    """A plan built before an upsert and a compaction still reads its own rows; the new rows are all there after."""
+    table = pages_table(spark, str(tmp_path / "race"), buckets=1)
+    table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "old", "x", None, i) for i in range(5)])), "b0")
+    reader = pages_table(spark, str(tmp_path / "race"))
+    before = reader.read()
+    table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", "new", "x", None, 10 + i) for i in range(5)])), "b1")
+    table.compact()
+    assert {r["title"] for r in before.collect()} == {"old"} and before.count() == 5
+    assert {r["title"] for r in reader.read().collect()} == {"new"} and reader.read().count() == 5
+    assert reader.current()["buckets"] == 1  # the count stored with the table, not the reader's default
+
+
+def test_small_batch_writes_only_its_rows(spark, tmp_path):
+    table = pages_table(spark, str(tmp_path / "grow"), buckets=4)
+    table.upsert(page_rows(enriched(spark, [(f"https://h.com/{i}", f"title {i * 7919 % 3001}", " ".join(str(i * j % 9973) for j in range(100)), None, i)
+                                               for i in range(3000)])), "big")
+    table.upsert(page_rows(enriched(spark, [("https://h.com/1", "n", "y", None, 10_000)])), "small")
+
+    def size(name):
+        return table._folder.fs.getContentSummary(table._folder._at(name)).getLength()
+
+    small, big = (size(n) for n in table.current()["deltas"][::-1])
+    assert small * 20 < big
+    assert [r["title"] for r in table.get("https://h.com/1").collect()] == ["n"] and table.read().count() == 3000
+    table.compact()
+    gone = table.vacuum(keep=1)
+    assert len(gone) == 2 and table.read().count() == 3000 and len(table._folder.names("_versions")) == 1
 
 
 def test_embeddings_keep_vector_when_text_is_gone(spark, tmp_path):
