@@ -136,11 +136,27 @@ class CrawlWorker:
         return (tasks.writeStream.queryName(GROUP_WORKER).option("checkpointLocation", f"{self.home}/checkpoint")
                 .foreachBatch(self.run_batch).trigger(**(trigger or {"availableNow": True})).start())
 
-    def drain(self, rounds: int = 100) -> int:
-        """Run until a round reads nothing: links and retries written by one round are the next round's input."""
-        for done in range(rounds):
+    def drain(self) -> int:
+        """Run until a round reads nothing: links and retries written by one round are the next round's input.
+
+        Returns the number of rounds that read something. There is no cap on rounds: a full origin only waits, and
+        every round that finishes an address (visited rows grow) is progress. Only rounds that finish nothing can
+        loop for ever (retries without ``max_attempts``): after ``max_attempts + 1`` of them in a row (2 without a
+        limit) the crawl stops with an error naming them.
+        """
+        patience = (self.options.max_attempts or 1) + 1
+        done, idle, finished = 0, 0, self._finished()
+        while True:
             query = self.start()
             query.awaitTermination()
             if not any(p["numInputRows"] for p in query.recentProgress):
                 return done
-        raise RuntimeError(f"tasks left after {rounds} rounds; set max_attempts to end retries")
+            done += 1
+            now = self._finished()
+            idle = 0 if now > finished else idle + 1
+            finished = now
+            if idle >= patience:
+                raise RuntimeError(f"{idle} rounds in a row finished no address; set max_attempts to end retries")
+
+    def _finished(self) -> int:
+        return self.visited().count()

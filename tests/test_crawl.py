@@ -120,6 +120,16 @@ def test_full_origin_waits_and_bad_messages_die(spark, tmp_path):
     assert read_topics(spark, log, ["crawl.initial.dlq"]).count() == 2
 
 
+def test_one_origin_drains_under_the_default_cap_without_a_round_limit(spark, tmp_path):
+    """30 tasks of one origin at 4 a round take 8 rounds, with no round limit to reach."""
+    site = spark.createDataFrame([(f"https://h.com/{i}", f"page {i}") for i in range(30)], "url string, html string")
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    publish(spark, seeds(spark, *[f"https://h.com/{i}" for i in range(30)]), log)
+    worker = CrawlWorker(spark, log, state, site)
+    assert worker.options.max_per_origin == 4 and worker.drain() == 8
+    assert len(results(spark, log)) == 30 and worker.visited().count() == 30
+
+
 def test_stream_dedupe_with_one_hot_url(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"u{i % 100}") for i in range(600)], "seq int, url string")
