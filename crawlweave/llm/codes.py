@@ -8,10 +8,11 @@ entry by the componentwise floor of its parts' mean (floor division, towards min
 parts are assigned a last time.
 
 Orchard search: for each codebook, every entry keeps the list of all entries sorted by their distance to it. A part starts
-at entry 0; it walks the current entry's list, scores each entry not yet visited (marked per part), and jumps to the first
+at the entry whose component sum is nearest its own; it walks the current entry's list, scores each entry not yet visited (marked per part), and jumps to the first
 one that is nearer (or as near with a lower index), restarting on that entry's list. A list is left once its next entry is
 more than twice as far from the current entry as the part is (squared: more than four times): by the triangle inequality
-no later entry can be as near. The walk is run for a whole Arrow batch at once, one numpy step per round of the walk.
+no later entry can be as near. The walk is run for a whole Arrow batch at once, one numpy step per round of the walk, which scores
+the next eight entries of each row's list together.
 
 Spark plan. The integer vectors are written once; each round is one map-only pass whose tasks sum their parts per
 (part, entry) before anything leaves the task, then a grouped sum of at most parts x entries x (part width + 1) rows that
@@ -31,7 +32,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,39 +65,54 @@ def neighbour_lists(book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.take_along_axis(dist, order, axis=1)
 
 
-def orchard(queries: np.ndarray, book: np.ndarray, order: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(entry, squared distance) of the nearest entry of ``book`` for each row of ``queries``, ties to lower index."""
+def orchard(queries: np.ndarray, book: np.ndarray, order: np.ndarray, far: np.ndarray, step: int = 8
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """(entry, squared distance) of the nearest entry of ``book`` for each row of ``queries``, ties to lower index.
+
+    Each round of the walk scores the next ``step`` entries of every live row's current list at once (those within the
+    bound and not yet visited) and jumps to the best improving one; a row whose list reaches the bound is done.
+    """
     rows, size = len(queries), len(book)
-    current = np.zeros(rows, dtype=np.int64)
-    gap = queries - book[0]
+    # start: the entry whose component sum is nearest the part's (any start is exact; a near one walks less)
+    sums = book.sum(axis=1)
+    by_sum = np.argsort(sums, kind="stable")
+    at = np.clip(np.searchsorted(sums[by_sum], queries.sum(axis=1)), 0, size - 1)
+    current = by_sum[at].astype(np.int64)
+    gap = queries - book[current]
     best = (gap * gap).sum(axis=1)
     seen = np.zeros((rows, size), dtype=bool)
-    seen[:, 0] = True
+    seen[np.arange(rows), current] = True
     place = np.zeros(rows, dtype=np.int64)
     live = np.arange(rows)
+    ahead = np.arange(step)
     while len(live):
-        at, cur = place[live], current[live]
-        over = at >= size
-        nxt = order[cur, np.minimum(at, size - 1)]
-        over |= far[cur, np.minimum(at, size - 1)] > 4 * best[live]
-        live, at, cur, nxt = live[~over], at[~over], cur[~over], nxt[~over]
-        fresh = ~seen[live, nxt]
-        place[live[~fresh]] += 1
-        live_f, nxt_f = live[fresh], nxt[fresh]
-        seen[live_f, nxt_f] = True
-        gap = queries[live_f] - book[nxt_f]
-        dist = (gap * gap).sum(axis=1)
-        better = (dist < best[live_f]) | ((dist == best[live_f]) & (nxt_f < current[live_f]))
-        won = live_f[better]
-        current[won], best[won], place[won] = nxt_f[better], dist[better], 0
-        place[live_f[~better]] += 1
+        cur = current[live]
+        spots = place[live][:, None] + ahead[None, :]
+        inside = spots < size
+        spots = np.minimum(spots, size - 1)
+        within = inside & (far[cur[:, None], spots] <= 4 * best[live][:, None])
+        ends = ~within.all(axis=1)  # the bound (or the list's end) is reached in this step
+        cand = order[cur[:, None], spots]
+        fresh = within & ~seen[live[:, None], cand]
+        seen[live[:, None][fresh.nonzero()[0]].ravel(), cand[fresh]] = True
+        gap = queries[live][:, None, :] - book[cand]
+        dist = np.where(fresh, (gap * gap).sum(axis=2), np.iinfo(np.int64).max)
+        # best candidate per row by (distance, index)
+        key_best = np.lexsort((cand, dist), axis=1)[:, 0]
+        pick = cand[np.arange(len(live)), key_best]
+        pick_d = dist[np.arange(len(live)), key_best]
+        better = fresh.any(axis=1) & ((pick_d < best[live]) | ((pick_d == best[live]) & (pick < cur)))
+        won = live[better]
+        current[won], best[won], place[won] = pick[better], pick_d[better], 0
+        place[live[~better]] += step
+        live = live[better | ~ends]
     return current, best
 
 
-def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    if len(column) == 0:
-        return np.zeros((0, width), dtype=np.int64)
-    return np.stack([np.asarray(v, dtype=np.int64) for v in column]) if width else np.zeros((len(column), 0), np.int64)
+def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """The batch's ``ivec`` lists (all of length ``width``) as one int64 matrix, without a Python object per row."""
+    values = batch.column("ivec").flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    return values.reshape(batch.num_rows, width)
 
 
 def _assign(books: list[np.ndarray], lists: list[tuple[np.ndarray, np.ndarray]], cuts: list[tuple[int, int]],
@@ -109,36 +125,45 @@ def _assign(books: list[np.ndarray], lists: list[tuple[np.ndarray, np.ndarray]],
 
 
 def _sums(shared, width: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, cuts = shared.value
         lists = [neighbour_lists(b) for b in books]
         sums = [np.zeros_like(b) for b in books]
         counts = [np.zeros(len(b), dtype=np.int64) for b in books]
-        for frame in frames:
-            vectors = _matrix(frame["ivec"], width)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = _matrix(batch, width)
             codes, _ = _assign(books, lists, cuts, vectors)
             for p, (lo, hi) in enumerate(cuts):
                 np.add.at(sums[p], codes[:, p], vectors[:, lo:hi])
                 counts[p] += np.bincount(codes[:, p], minlength=len(books[p]))
         out = []
         for p in range(len(books)):
-            used = np.flatnonzero(counts[p])
-            for e in used:
+            for e in np.flatnonzero(counts[p]):
                 out.append((p, int(e), -1, int(counts[p][e])))
                 out += [(p, int(e), j, int(v)) for j, v in enumerate(sums[p][e])]
-        yield pd.DataFrame(out, columns=["part", "entry", "pos", "value"]).astype("int64")
+        columns = list(zip(*out)) if out else [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["part", "entry", "pos", "value"])
     return run
 
 
+def hex_codes(codes: np.ndarray) -> list[str]:
+    """Two lowercase hex digits per part index (indexes below 256)."""
+    return [row.tobytes().hex() for row in codes.astype(np.uint8)]
+
+
 def _codes(shared, width: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, cuts = shared.value
         lists = [neighbour_lists(b) for b in books]
-        for frame in frames:
-            codes, errors = _assign(books, lists, cuts, _matrix(frame["ivec"], width))
-            yield pd.DataFrame({"vec_id": frame["vec_id"].astype("Int64"), "label": frame["label"].astype("Int32"),
-                                "code": ["".join(f"{c:02x}" for c in row) for row in codes],
-                                "error": errors.sum(axis=1).astype("int64")})
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes, errors = _assign(books, lists, cuts, _matrix(batch, width))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("label"), pa.array(hex_codes(codes), pa.string()),
+                 pa.array(errors.sum(axis=1), pa.int64())], ["vec_id", "label", "code", "error"])
     return run
 
 
@@ -150,6 +175,8 @@ def codebooks_digest(books: list[np.ndarray]) -> str:
 def train_codes(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS
                 ) -> tuple[DataFrame, list[np.ndarray]]:
     """(codes, codebooks): codes holds vec_id, label, code (two hex digits a part), error (squared distance)."""
+    if not 0 < entries <= 256:
+        raise ValueError("codes are two hex digits a part: 1 to 256 entries")
     spark = rows.sparkSession
     kept = integer_vectors(rows)
     smallest = kept.orderBy(F.col("vec_id").asc_nulls_last(), "ivec").limit(1).collect()
@@ -163,7 +190,7 @@ def train_codes(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     books = [start[:, lo:hi].copy() for lo, hi in cuts]
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast((books, cuts))
-        totals = (kept.select("ivec").mapInPandas(_sums(shared, width), "part long, entry long, pos long, value long")
+        totals = (kept.select("ivec").mapInArrow(_sums(shared, width), "part long, entry long, pos long, value long")
                   .groupBy("part", "entry", "pos").agg(F.sum("value").alias("value")).collect())
         sums = [np.zeros_like(b) for b in books]
         counts = [np.zeros(len(b), dtype=np.int64) for b in books]
@@ -177,7 +204,7 @@ def train_codes(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
             books[p][used] = np.floor_divide(sums[p][used], counts[p][used][:, None])
         shared.unpersist()
     shared = spark.sparkContext.broadcast((books, cuts))
-    coded = kept.select("vec_id", "label", "ivec").mapInPandas(
+    coded = kept.select("vec_id", "label", "ivec").mapInArrow(
         _codes(shared, width), "vec_id long, label int, code string, error long")
     return coded, books
 
