@@ -7,12 +7,12 @@ assigns every part to its codebook's nearest entry (squared Euclidean distance,
 entry by the componentwise floor of its parts' mean (floor division, towards minus infinity); unused entries stay. Then
 parts are assigned a last time.
 
-Orchard search: for each codebook, every entry keeps the list of all entries sorted by their distance to it. A part starts
-at the entry whose component sum is nearest its own; it walks the current entry's list, scores each entry not yet visited (marked per part), and jumps to the first
-one that is nearer (or as near with a lower index), restarting on that entry's list. A list is left once its next entry is
-more than twice as far from the current entry as the part is (squared: more than four times): by the triangle inequality
-no later entry can be as near. The walk is run for a whole Arrow batch at once, one numpy step per round of the walk, which scores
-the next eight entries of each row's list together.
+Orchard search: for each codebook, every entry keeps the list of all entries sorted by their distance to it. A part
+starts at the entry whose component sum is nearest its own; it walks the current entry's list, scores the entries not yet
+visited (marked per part), and jumps to an entry that is nearer (or as near with a lower index), restarting on that
+entry's list. A list is left once its next entry is more than twice as far from the current entry as the part is
+(squared: more than four times): by the triangle inequality no later entry can be as near. The walk is run for a whole
+Arrow batch at once; each numpy step scores the next eight entries of every row's list and jumps to the best of them.
 
 Spark plan. The integer vectors are written once; each round is one map-only pass whose tasks sum their parts per
 (part, entry) before anything leaves the task, then a grouped sum of at most parts x entries x (part width + 1) rows that
