@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +17,9 @@ from crawlweave.operators.dedupe import new_urls, unseen
 from crawlweave.operators.extract import extract_pages, page_results, result_json
 from crawlweave.operators.gates import depth_gate, origin_cap, robots_gate
 from crawlweave.operators.links import site_links
-from crawlweave.operators.routing import route_outcomes
+from crawlweave.operators.routing import route_outcomes, with_not_before
 from crawlweave.operators.validate import result_is_valid, validate_tasks
-from crawlweave.options import GROUP_WORKER, TASK_TOPICS, TOPIC_DLQ, TOPIC_INITIAL, CrawlOptions
+from crawlweave.options import GROUP_WORKER, RETRY_DELAY_SECONDS, TASK_TOPICS, TOPIC_DLQ, TOPIC_INITIAL, CrawlOptions
 from crawlweave.sources.folder import Folder
 from crawlweave.sources.snapshot import snapshot_fetch
 from crawlweave.sources.topics import read_topics, to_result_messages, to_task_messages, write_topics
@@ -34,9 +37,12 @@ class CrawlWorker:
     """State and steps of one worker group. ``home`` holds the visited table and the batches' working tables."""
 
     def __init__(self, spark: SparkSession, log: str, home: str, snapshot: DataFrame,
-                 options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None):
+                 options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None,
+                 clock: Callable[[], datetime] | None = None):
         self.spark, self.log, self.home = spark, log, home
         self.snapshot, self.options, self.rules = snapshot, options, rules
+        self.clock = clock or (lambda: datetime.now(timezone.utc))
+        self.waiting_until: datetime | None = None
 
     def visited(self, before: int | None = None) -> DataFrame:
         """Addresses with a final outcome and the content hashes published, of the batches before one."""
@@ -58,6 +64,15 @@ class CrawlWorker:
         its url from then on.
         """
         options, label = self.options, f"{GROUP_WORKER}-{batch}"
+        # A retry runs once its topic's delay has passed since it was published; until then it is published again
+        # unchanged, with its first time, so it runs exactly once, after its time.
+        timed = with_not_before(messages.select(*CARRIED))
+        early = F.col("topic").isin(*RETRY_DELAY_SECONDS) & (F.col("not_before") > F.lit(self.clock()))
+        timed = timed.withColumn("_early", early)
+        waiting = timed.filter("_early")
+        first_due = waiting.agg(F.min("not_before")).first()[0]
+        self.waiting_until = first_due.astimezone(timezone.utc) if first_due else None
+        messages = timed.filter(~F.col("_early")).select(*CARRIED)
         judged = validate_tasks(messages.select(*CARRIED))
         bad = judged.filter(F.col("outcome") == "dlq")
         tasks = depth_gate(judged.filter(F.col("outcome") == "ok"), options.max_depth)
@@ -86,19 +101,24 @@ class CrawlWorker:
         fresh = self._stage(found.join(first.select("url"), "url", "left_semi").withColumn(
             "site_links", F.when(follow, site_links("url", "links"))).drop("links"), "fresh", batch)
 
-        # A full origin only waits; tries are limited for pages that cannot be fetched.
+        # A full origin only waits: its tasks go back to their own topic unchanged (tries, time); tries are limited for
+        # pages that cannot be fetched.
         full = tasks.filter(F.col("outcome") == "retry")
         results = page_results(fresh.withColumn("fetched_at", F.col("timestamp")), selectors=options.include_selectors)
         results = results.withColumn("outcome", F.when(result_is_valid(), "ok").otherwise("dlq"))
         unfit = results.filter(F.col("outcome") == "dlq")
         again = route_outcomes(reduce(DataFrame.unionByName, [
-            rows.select(*CARRIED, "outcome") for rows in (bad, full, unfit)])).drop("timestamp")
+            rows.select(*CARRIED, "outcome") for rows in (bad, unfit)])).drop("timestamp")
         links = fresh.select(F.explode("site_links").alias("url"), (F.col("depth") + 1).alias("depth"))
         good = results.filter(F.col("outcome") == "ok").select("sitesUrl", result_json(results).alias("_json"))
-        out = [again, failed, to_task_messages(links, TOPIC_INITIAL), to_result_messages(good, F.col("_json"))]
-        names = ["topic", "key", "value", "headers"]
-        write_topics(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                            [rows.select(*[c for c in names if c in rows.columns]) for rows in out]), self.log, label)
+        held = waiting.select("topic", "key", "value", "headers", F.col("timestamp").alias("_since")).unionByName(
+            full.select("topic", "key", "value", "headers", F.col("timestamp").alias("_since")))
+        out = [again, failed, to_task_messages(links, TOPIC_INITIAL), to_result_messages(good, F.col("_json")), held]
+        names = ["topic", "key", "value", "headers", "_since"]
+        gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                          [rows.select(*[c for c in names if c in rows.columns]) for rows in out])
+        write_topics(gathered.withColumn("timestamp", F.coalesce("_since", F.current_timestamp())).drop("_since"),
+                     self.log, label)
         self._log_outcomes([
             bad.select(*OUTCOME), full.select(*OUTCOME), failed.select(*OUTCOME),
             results.select("url", "timestamp", "outcome",
@@ -147,13 +167,20 @@ class CrawlWorker:
         patience = (self.options.max_attempts or 1) + 1
         done, idle, finished = 0, 0, self._finished()
         while True:
+            self.waiting_until = None
             query = self.start()
             query.awaitTermination()
             if not any(p["numInputRows"] for p in query.recentProgress):
                 return done
             done += 1
             now = self._finished()
-            idle = 0 if now > finished else idle + 1
+            if now > finished:
+                idle = 0
+            elif self.waiting_until is not None:
+                # only retries whose time has not come: wait for the first of them (at most the longest delay)
+                time.sleep(max(0.0, (self.waiting_until - self.clock()).total_seconds()))
+            else:
+                idle += 1
             finished = now
             if idle >= patience:
                 raise RuntimeError(f"{idle} rounds in a row finished no address; set max_attempts to end retries")

@@ -130,6 +130,34 @@ def test_one_origin_drains_under_the_default_cap_without_a_round_limit(spark, tm
     assert len(results(spark, log)) == 30 and worker.visited().count() == 30
 
 
+def test_a_retry_runs_once_after_its_delay(spark, site, tmp_path):
+    """A 30 s retry read 10 s after it was published waits (published again with its own time); read 31 s after, it
+    runs, once."""
+    from datetime import datetime, timedelta, timezone
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    retry = to_task_messages(seeds(spark, "https://h.com/6"), "crawl.initial.retry.30s").withColumn(
+        "headers", F.create_map(F.lit("attempts"), F.lit("1")))
+    write_topics(retry, log, "seed")
+    start = datetime.now(timezone.utc)  # after the message's own time
+
+    def batch(name):
+        rows = read_topics(spark, log, ["crawl.initial.retry.30s"]).filter(F.col("batch") == name)
+        path = str(tmp_path / f"in-{name}")
+        rows.write.parquet(path)
+        return spark.read.parquet(path)
+
+    early = CrawlWorker(spark, log, state, site, CrawlOptions(max_attempts=5), clock=lambda: start + timedelta(seconds=10))
+    first = batch("seed")
+    early.run_batch(first, 0)
+    assert results(spark, log) == [] and early.waiting_until is not None
+    again = batch("workers-0")
+    assert again.count() == 1 and again.first()["timestamp"] == first.first()["timestamp"]
+    late = CrawlWorker(spark, log, state, site, CrawlOptions(max_attempts=5), clock=lambda: start + timedelta(seconds=31))
+    late.run_batch(again, 1)
+    assert [d["sitesUrl"] for d in results(spark, log)] == ["https://h.com/6"] and late.waiting_until is None
+    assert read_topics(spark, log, ["crawl.initial.retry.30s"]).count() == 2  # the seed and its one wait, no more
+
+
 def test_stream_dedupe_with_one_hot_url(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"u{i % 100}") for i in range(600)], "seq int, url string")
