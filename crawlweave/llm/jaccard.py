@@ -16,6 +16,7 @@ from crawlweave.llm.shingles import Words, mix, sorted_sets
 SLICES, SLICE = 64, 1 << 14
 CLASS_BITS = 6
 SOME = 512
+NO_ID = (1 << 63) - 1  # null ids order last
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -133,6 +134,16 @@ def shared_codes(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [s[k] for s, k in zip(sets, np.split(keep, bounds))]
 
 
+def shared_heads(heads: list[np.ndarray]) -> list[np.ndarray]:
+    """The heads without the codes that no other set of the group holds.
+
+    A code that stands in one head only may still stand in the unknown rest of a set whose head ends before it, so only
+    codes up to the end of the head that ends first are left out.
+    """
+    reach = min((h[-1] for h in heads), default=np.uint64(0))
+    return [h[(h > reach) | np.isin(h, s)] for h, s in zip(heads, shared_codes(heads))]
+
+
 def linked_sets(sets: list[np.ndarray], group: list[int], percent: int) -> list[tuple[int, int]]:
     """Links that connect what similar pairs connect, given that equal ``group`` is connected already.
 
@@ -248,7 +259,7 @@ BIT_SLICES, SLICE_BITS = 1 << 10, 1 << 16
 
 
 def _bits(ids: pa.Array) -> np.ndarray:
-    return (mix(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(
+    return (mix(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(
         BIT_SLICES * SLICE_BITS)).astype(np.int64)
 
 
@@ -336,7 +347,7 @@ def _hopeful(percent: int, done: list[str], once: bool):
         asking = np.flatnonzero(pairs.any(axis=1))
         if len(asking):
             tree = PrefixTree(percent)
-            common = shared_codes(heads)
+            common = shared_heads(heads)
             room = [int(size) - len(h) + len(c) for size, h, c in zip(sizes, heads, common)]
             for n in asking.tolist():
                 tree.insert(n, common[n], int(sizes[n]), room[n])
@@ -403,8 +414,8 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90, most:
     become pairs of blocks, so that no group is held whole. Links inside what is connected are not listed. Whole sets
     are made anew from the texts that a map of 2^26 bits lets through; it only saves work, and less beyond some 10^7 of them.
 
-    Null, empty and blank texts have no shingles and are their own components. Ids must not be null; rows with equal
-    ids are compared by their own texts. Component is the smallest id reachable. An empty table gives no rows.
+    Null, empty and blank texts have no shingles and are their own components. Rows with a null id link like others,
+    rows with equal ids are compared by their own texts. Component is the smallest id reachable, null if there is none. An empty table gives no rows.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequency_classes(docs, words))  # 2^20 bytes
@@ -412,7 +423,7 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90, most:
     heads = stored(rows.mapInArrow(_heads(words, percent, shared),
                                    "id long, size long, node long, head array<bigint>"), "jaccard-heads")
     nodes = stored(heads.where("size > 0").groupBy("node").agg(
-        F.min_by(F.struct("id", "size", "head"), "id").alias("r")).select("node", "r.*"), "jaccard-nodes")
+        F.min_by(F.struct("id", "size", "head"), F.coalesce("id", F.lit(NO_ID))).alias("r")).select("node", "r.*"), "jaccard-nodes")
 
     spread = nodes.select("node", "size", F.posexplode("head").alias("place", "code"))
     several = spread.groupBy("code").agg(F.count("*").alias("n")).where("n > 1")

@@ -433,6 +433,16 @@ def test_large_group_of_near_copies_against_brute_force(spark):
         assert {r["id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in sets.items()}
 
 
+def test_a_text_links_with_itself_and_words_of_its_own(spark):
+    """The longer text's own shingles come first in its head, so most of the shorter one's head lies beyond it."""
+    text = " ".join(f"w{i}" for i in range(92))
+    more = text + " " + " ".join(f"x{i}" for i in range(10))  # 90 of 100 shingles
+    rows = [(2, text), (1, more), (None, text + " y"), (4, more + " z"), (5, text + " " + more)]
+    got = jaccard.similar_components(spark.createDataFrame(rows, "id long, text string")).collect()
+    assert sorted((r["n_shingles"], r["component"]) for r in got) == [
+        (90, 1), (91, 1), (100, 1), (101, 1), (102, 1)]
+
+
 def test_stars_connect_the_same():
     assert jaccard.stars([(1, 2), (2, 3), (5, 4), (6, 6)], 7) == [(2, 1), (3, 1), (5, 4)]
     assert jaccard.stars([], 3) == []
