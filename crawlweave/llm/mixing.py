@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlweave.llm.common import WORD, running_sum, word_count
+from crawlweave.llm.common import WORD, running_sum, stored, word_count
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
@@ -53,37 +53,70 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     """
     made = ("size", "source_size", "target", "taken", "_key", "_before", "_digest", "text")
     extra = [c for c in docs.columns if c not in made and c not in ("doc_id", "source")]
+    sized = docs.select("doc_id", "source", *extra, word_count(F.col("text")).alias("size"), *_order(seed)[::2])
+    joined = _budgeted(sized, weights, share, most)
+    last = F.least(F.col("size"), F.greatest(F.lit(0), F.col("_rest") - F.col("_before")))
+    return joined.select("doc_id", "source", *extra, "size", "source_size", "target",
+                         (F.col("_epochs") * F.col("size") + last).cast("long").alias("taken"))
+
+
+def _order(seed: int) -> list[Column]:
+    """The order of documents within a source, for rows with doc_id and text."""
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
-    sized = docs.select("doc_id", "source", *extra, word_count(F.col("text")).alias("size"), digest.alias("_digest"))
-    keyed = sized.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "_digest"))
-    placed = running_sum(keyed, ["source"], ["_key", "doc_id", "_digest"], "size", "_before")
+    return [F.xxhash64(F.lit(seed), "doc_id", digest).alias("_key"), F.col("doc_id"), digest.alias("_digest")]
+
+
+def _budgeted(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """Adds the words before a row in its source, the source's whole epochs and the words of its cut epoch."""
+    placed = running_sum(sized, ["source"], ["_key", "doc_id", "_digest"], "size", "_before")
     targets = source_targets(placed.select("source", "size"), weights, share, most).withColumnRenamed("source", "_s")
     joined = placed.join(targets, F.col("source").eqNullSafe(F.col("_s")))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size")
-    last = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("_before")))
-    return joined.select("doc_id", "source", *extra, "size", "source_size", "target",
-                         (epochs * F.col("size") + last).cast("long").alias("taken"))
+    return joined.withColumn("_epochs", epochs).withColumn("_rest", budget - F.col("_epochs") * F.col("source_size"))
 
 
-def mixed_documents(docs: DataFrame, **options: float) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
+                    seed: int = 42) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document stands once per epoch it is taken in.
 
     The one document at a source's cut keeps its words up to the cut. ``n_chars``, where it is a column, follows.
     Documents that are not taken, those without words among them, are absent.
+
+    Only sizes and hashes are sorted: a source's cut is one place in the order, and a scan of the texts tells of each row
+    on which side of it the row lies. Rows that are equal at the cut, nearly always one, are counted apart.
     """
     columns = docs.columns
-    whole = docs.select("doc_id", "source", "text", F.struct(*columns).alias("_row"))
-    plan = mix_sources(whole, **options).where("taken > 0").select("_row", "size", "taken")
+    order = _order(seed)
+    sized = docs.select("source", word_count(F.col("text")).alias("size"), *order)
+    place = F.struct("_key", "doc_id", "_digest", (-F.col("_before")).alias("_back"))  # of equal rows the first
+    cuts = stored(_budgeted(sized, weights, share, most).groupBy(F.col("source").alias("_s")).agg(
+        F.first("_epochs").alias("_epochs"), F.first("_rest").alias("_rest"),
+        F.max(F.when((F.col("size") > 0) & (F.col("_rest") > F.col("_before")), place)).alias("_cut")), "mix-cuts")
+
+    row, cut = F.struct(*order), F.struct(*[F.col("_cut")[c].alias(c) for c in ("_key", "doc_id", "_digest")])
+    has_cut = F.col("_cut").isNotNull()
+    sided = docs.select("source", "text", row.alias("_at"), F.struct(*columns).alias("_row")).join(
+        cuts, F.col("source").eqNullSafe(F.col("_s"))).where(F.regexp_like("text", F.lit(WORD)))
+    tied = has_cut & (F.col("_at") == cut)
+    times = F.col("_epochs") + F.when(has_cut & (F.col("_at") < cut), 1).otherwise(0)
+    whole = sided.where(~tied).withColumn("_times", times).where("_times > 0").select(
+        "_row", F.col("text").alias("_text"), F.explode(F.sequence(F.lit(1), "_times")))
+
+    # equal rows at the cut share the words that are left there, one after the other
+    turn = F.row_number().over(Window.partitionBy("source").orderBy("_at")) - 1
+    at_cut = sided.where(tied).withColumn("size", word_count(F.col("text"))).withColumn("_turn", turn)
+    left = F.col("_rest") + F.col("_cut")["_back"] - F.col("_turn") * F.col("size")
+    last = F.least(F.col("size"), F.greatest(F.lit(0), left))
+    taken = at_cut.withColumn("taken", F.col("_epochs") * F.col("size") + last).where("taken > 0")
     epoch = F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("long")))
-    copies = plan.withColumn("_epoch", epoch)
     words = F.least(F.col("size"), F.col("taken") - F.col("_epoch") * F.col("size"))
-    text = F.col("_row")["text"]
-    parts = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    parts = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     head = F.array_join(F.slice(parts, F.lit(1), words.cast("int")), "")
-    cut = F.when(words < F.col("size"), head).otherwise(text)
-    out = copies.select("_row", cut.alias("_text"))
+    part = taken.withColumn("_epoch", epoch).select(
+        "_row", F.when(words < F.col("size"), head).otherwise(F.col("text")).alias("_text"))
+
+    out = whole.select("_row", "_text").unionByName(part)
     value = {"text": F.col("_text"), "n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)
              if "n_chars" in columns else None}
     return out.select(*[(value[c] if c in value else F.col("_row")[c]).alias(c) for c in columns])
