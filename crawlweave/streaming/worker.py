@@ -19,7 +19,8 @@ from crawlweave.operators.gates import depth_gate, origin_cap, robots_gate
 from crawlweave.operators.links import site_links
 from crawlweave.operators.routing import route_outcomes, with_not_before
 from crawlweave.operators.validate import result_is_valid, validate_tasks
-from crawlweave.options import GROUP_WORKER, RETRY_DELAY_SECONDS, TASK_TOPICS, TOPIC_DLQ, TOPIC_INITIAL, CrawlOptions
+from crawlweave.options import (GROUP_WORKER, RETRY_DELAY_SECONDS, TASK_TOPICS, TASKS_PER_FILE, TOPIC_DLQ, TOPIC_INITIAL,
+                                CrawlOptions)
 from crawlweave.sources.folder import Folder
 from crawlweave.sources.snapshot import snapshot_fetch
 from crawlweave.sources.topics import read_topics, to_result_messages, to_task_messages, write_topics
@@ -118,7 +119,7 @@ class CrawlWorker:
         gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                           [rows.select(*[c for c in names if c in rows.columns]) for rows in out])
         write_topics(gathered.withColumn("timestamp", F.coalesce("_since", F.current_timestamp())).drop("_since"),
-                     self.log, label)
+                     self.log, label, TASKS_PER_FILE)
         self._log_outcomes([
             bad.select(*OUTCOME), full.select(*OUTCOME), failed.select(*OUTCOME),
             results.select("url", "timestamp", "outcome",
