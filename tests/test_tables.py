@@ -10,6 +10,7 @@ from crawlweave.options import PRODUCT_URL_REGEX
 from crawlweave.functions.text import product_id, product_slug
 from crawlweave.schemas import ENRICHED
 from crawlweave.sources.lake import lake_rows, lake_write, read_lake
+from crawlweave.sources.topics import read_topics, write_topics
 from crawlweave.sources.tables import (embedding_rows, embeddings_table, page_rows, pages_table, product_rows,
                                        products_table)
 
@@ -164,6 +165,22 @@ def test_lake(spark, tmp_path):
     assert got == [("2024-05-05", "h.com", '{"b":2}'), ("2025-12-31", "a_b_c.com", '{"a":1}'), ("2026-01-01", "h.com", '{"c":3}')]
 
 
+def test_a_lake_batch_replaces_all_that_it_wrote_before(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    shape = "value string, dt string, domain string"
+    lake_write(spark.createDataFrame([("a", "2024-01-01", "h.com"), ("b", "2024-01-02", "h.com")], shape), path, "b0")
+    lake_write(spark.createDataFrame([("c", "2024-01-01", "h.com")], shape), path, "b1")
+    lake_write(spark.createDataFrame([("b", "2024-01-02", "h.com")], shape), path, "b0")
+    assert sorted(r["value"] for r in read_lake(spark, path).collect()) == ["b", "c"]
+
+
+def test_task_files_hold_few_records(spark, tmp_path):
+    rows = spark.range(100).select(F.lit("crawl.initial").alias("topic"), F.col("id").cast("string").alias("value"))
+    write_topics(rows, str(tmp_path / "log"), "b", 30)
+    log = read_topics(spark, str(tmp_path / "log"), ["crawl.initial"])
+    assert log.count() == 100 and log.select(F.input_file_name()).distinct().count() >= 4
+
+
 def test_new_urls_is_idempotent_and_takes_first(spark):
     rows = [(i, "https://hot.com/" if i % 3 else f"https://h.com/{i % 40}") for i in range(2000)]
     tasks = spark.createDataFrame(rows, "seq int, url string").repartition(8)
