@@ -65,6 +65,13 @@ def _counted(code: np.ndarray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return code[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first)
 
 
+def _gather(parts: list[tuple[np.ndarray, np.ndarray]], code: np.ndarray, n: np.ndarray) -> None:
+    """Adds counts to ``parts``, whose first entry is what was merged so far; merges when the others outgrow it."""
+    parts.append((code, n))
+    if sum(len(c) for c, _ in parts[1:]) > len(parts[0][0]):
+        parts[:] = [_totals(*map(list, zip(*parts)))]
+
+
 def _word_codes(text: np.ndarray) -> np.ndarray:
     """63-bit hashes of the tokens: words with their blank, and line ends."""
     return segment_codes(text, (text == SPACE) | (text == END)) >> np.uint64(1)
@@ -98,7 +105,7 @@ def _chunks(order: int, chunk_bytes: int):
         whole = b"".join(texts)
         ends = np.cumsum([len(t) for t in texts])
         text, flags = np.frombuffer(whole, np.uint8), ~np.array(held, bool)
-        found = {GRAM: ([], []), WORD: ([], [])}
+        found = {GRAM: [], WORD: []}
         for a, b in _stretches(ends):
             low, high = (int(ends[a - 1]) if a else 0), int(ends[b - 1])
             part, stops = text[low:high], ends[a:b] - low
@@ -107,11 +114,9 @@ def _chunks(order: int, chunk_bytes: int):
             tokens = np.flatnonzero((part == SPACE) | (part == END))
             for kind, code, flag in ((GRAM, gram_codes(part, starts, order), learns),
                                      (WORD, _word_codes(part), learns[tokens])):
-                code, n = _counted(code, flag)
-                found[kind][0].append(code)
-                found[kind][1].append(n)
+                _gather(found[kind], *_counted(code, flag))
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        raw = b"".join(_pack_pairs(k, *_totals(*v)) for k, v in found.items())
+        raw = b"".join(_pack_pairs(k, *_totals(*map(list, zip(*v)))) for k, v in found.items())
         return pa.RecordBatch.from_arrays([
             pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
             pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),

@@ -169,6 +169,24 @@ def test_mixing_meets_targets(docs, empty):
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixing_sorts_no_texts_and_shares_a_cut_among_equal_rows(spark, monkeypatch):
+    sorted_columns, real = [], mixing.running_sum
+    monkeypatch.setattr(mixing, "running_sum", lambda rows, *rest: sorted_columns.append(rows.columns) or real(rows, *rest))
+    rows = [(None, "a b c", "x")] * 5 + [(7, "d e f g", "y")] * 4 + [(8, "h", "y"), (9, None, "y"), (None, "i j", None)] + [
+        (n, "k l m n o p", "z") for n in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = Counter(tuple(r) for r in mixing.mixed_documents(table, weights=(3, 2, 1), share=1.2).collect())
+    assert not {"text", "_row", "_text"} & set(sum(sorted_columns, []))
+    want = Counter()
+    joined = mixing.mix_sources(table.withColumn("kept", F.col("text")), weights=(3, 2, 1), share=1.2)
+    for r in joined.where("taken > 0").collect():
+        whole, part = divmod(r["taken"], r["size"])
+        want[r["doc_id"], r["kept"], r["source"]] += whole
+        if part:
+            want[r["doc_id"], " ".join(r["kept"].split()[:part]), r["source"]] += 1
+    assert mixed == +want
+
+
 @pytest.fixture(scope="module")
 def plain_ids():
     from tokenizers import Tokenizer
@@ -333,6 +351,16 @@ def test_scores_against_counts(docs, empty):
     assert hpylm.score_texts(empty, order=2, samples=1).count() == 0
 
 
+def test_counts_of_a_chunk_are_merged_as_they_come():
+    parts, rng = [], np.random.default_rng(5)
+    codes = [np.unique(rng.integers(0, 500, 400).astype(np.uint64)) for _ in range(60)]
+    for code in codes:
+        hpylm._gather(parts, code, np.ones(len(code), np.int64))
+        assert sum(len(c) for c, _ in parts) <= 2 * 500 + len(code)
+    code, n = hpylm._totals(*map(list, zip(*parts)))
+    assert dict(zip(code.tolist(), n.tolist())) == Counter(np.concatenate(codes).tolist())
+
+
 def test_predictive_probabilities_sum_to_one(spark):
     rng = np.random.default_rng(3)
     counts = Counter(zip(rng.integers(0, 3, 500).tolist(), rng.integers(0, 4, 500).tolist()))
