@@ -20,6 +20,7 @@ from crawlweave.options import IVF_LISTS
 
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 2_000
+BLOCK_SCORES = 1 << 20
 
 
 def _cosine_to(reference: list[float]):
@@ -125,11 +126,12 @@ def ivf_search(spark, path: str, queries: DataFrame, k: int = 10, nprobe: int =
             squares = np.einsum("ij,ij->i", rows, rows)
             take = min(k, len(urls))
             names, probes_in = asked["query_id"].to_pylist(), matrix(asked["embedding"])
-            for at in range(0, len(names), 256):
-                batch = probes_in[at:at + 256]
+            step = max(1, BLOCK_SCORES // len(urls))
+            for at in range(0, len(names), step):
+                batch = probes_in[at:at + step]
                 near = squares - 2 * batch @ rows.T
                 edge = np.partition(near, take - 1, axis=1)[:, take - 1]
-                for name, scores, limit, vector in zip(names[at:at + 256], near, edge, batch):
+                for name, scores, limit, vector in zip(names[at:at + step], near, edge, batch):
                     # Everything up to the k-th score, ties included; exact distances settle the order.
                     hits = np.flatnonzero(scores <= limit + 1e-9 * (1 + abs(limit)))
                     exact = np.sqrt(((rows[hits] - vector) ** 2).sum(1))
