@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by prefix trees: ordered sets share paths, short remainders prune subtrees."""
+"""N-gram Jaccard join: digests of parts of the sets find candidates, prefix trees of whole sets compare them."""
 
 from __future__ import annotations
 
@@ -7,16 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlweave.llm.common import components, stored
 from crawlweave.llm.shingles import Words, mix, sorted_sets
 
-SLICES, SLICE = 64, 1 << 14
-CLASS_BITS = 6
 SOME = 512
-NO_ID = (1 << 63) - 1  # null ids order last
+SEEN = 1 << 16
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -134,16 +132,6 @@ def shared_codes(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [s[k] for s, k in zip(sets, np.split(keep, bounds))]
 
 
-def shared_heads(heads: list[np.ndarray]) -> list[np.ndarray]:
-    """The heads without the codes that no other set of the group holds.
-
-    A code that stands in one head only may still stand in the unknown rest of a set whose head ends before it, so only
-    codes up to the end of the head that ends first are left out.
-    """
-    reach = min((h[-1] for h in heads), default=np.uint64(0))
-    return [h[(h > reach) | np.isin(h, s)] for h, s in zip(heads, shared_codes(heads))]
-
-
 def linked_sets(sets: list[np.ndarray], group: list[int], percent: int) -> list[tuple[int, int]]:
     """Links that connect what similar pairs connect, given that equal ``group`` is connected already.
 
@@ -198,42 +186,54 @@ def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.
             yield batch, batch.column(text).cast(pa.binary()).to_pylist()
 
 
-def _sketch(words: int):
-    """Counts of all shingles in hashed cells, in slices: the same number of cells for any input."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(SLICES * SLICE, np.int64)
-        for _, texts in _batches(batches, "text"):
-            code, doc = Words(texts).shingles(words)
-            code = np.concatenate(sorted_sets(code, doc, len(texts)) or [code])
-            cells += np.bincount((code >> np.uint64(44)).astype(np.int64), minlength=len(cells))
-        if cells.any():
-            rows = cells.reshape(SLICES, SLICE)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(
-                [r.tobytes() for r in rows], pa.binary())], ["slice", "cells"])
-    return run
+def most_differing(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Most codes that stand in one only of two sets of these sizes with 100 * intersection >= percent * union."""
+    return (100 - percent) * (a + b) // (100 + percent)
 
 
-def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
-    """Class (log2 of the count) of each of 2^20 cells: about how many documents hold a shingle of the cell."""
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in table.column("cells").to_pylist())
-        classes = np.minimum(np.log2(np.maximum(total, 1)), (1 << CLASS_BITS) - 1).astype(np.uint8)
-        return pa.table({"slice": table.column("slice")[:1], "classes": pa.array([classes.tobytes()], pa.binary())})
+def part_digests(sets: list[np.ndarray], percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(digest, set) pairs; two different similar sets of ascending hashes have at least one digest in common.
 
-    rows = docs.select("text").mapInArrow(_sketch(words), "slice int, cells binary").groupBy("slice").applyInArrow(
-        add, "slice int, classes binary").collect()  # a byte for each cell
-    found = np.zeros((SLICES, SLICE), np.uint8)
-    for row in rows:
-        found[row["slice"]] = np.frombuffer(row["classes"], np.uint8)
-    return found.ravel()
-
-
-def _ordered(texts: list, words: int, classes: np.ndarray) -> list[np.ndarray]:
-    """Each text's shingles as codes whose numbers are the global order: rare classes first, then by hash."""
+    A set is cut by value into the parts of its level (sizes from 2^level times the least size that can have a partner), and
+    larger sets also into those of the lower levels in which a partner may lie. If d codes at most differ, at most d parts
+    do, so in any order of the parts two similar sets share one among the first d + 1 of both. The order is by number of
+    codes, most first, so that a digest stands for several codes at once: sets share it that hold all of them and
+    nothing else in that part, however frequent each code is. No counts over the table are needed.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    if percent >= 100 or not size.sum():
+        return []
+    bounds = -(-percent // (100 - percent)) << np.arange(40)
+    own, low = (bounds.searchsorted(s, side="right") - 1 for s in (size, -(-percent * size // 100)))
+    found = []
+    for step in range(int((own - low).max()) + 1):
+        chosen = np.flatnonzero((own - step >= low) & (own >= step))
+        if not len(chosen):
+            continue
+        n, level = size[chosen], own[chosen] - step
+        top = bounds[level + 1] - 1
+        parts = most_differing(top, 100 * top // percent, percent) * 5 // 4 + 2
+        length = most_differing(n, np.minimum(n, top) if step else 100 * n // percent, percent) + 1
+        code = np.concatenate([sets[c] for c in chosen])
+        begin = np.cumsum(parts) - parts
+        part = (code >> np.uint64(32)) * np.repeat(parts, n).astype(np.uint64) >> np.uint64(32)
+        slot = np.repeat(begin, n) + part.astype(np.int64)  # ascending, as codes are
+        count = np.bincount(slot, minlength=int(parts.sum()))
+        first = np.flatnonzero(np.diff(slot, prepend=-1))
+        sums = np.zeros(len(count), np.uint64)
+        sums[slot[first]] = np.add.reduceat(mix(code), first)
+        owner = np.repeat(np.arange(len(chosen)), parts)
+        place = np.arange(len(count)) - begin[owner]
+        digest = mix(sums + mix((level[owner] << 32 | place).astype(np.uint64)))
+        order = np.lexsort((-count, owner))[place < length[owner]]
+        found.append((digest[order], chosen[owner[order]]))
+    return found
+
+
+def _hashed(texts: list, words: int) -> list[np.ndarray]:
+    """Each text's shingles as ascending 64-bit hashes."""
     code, doc = Words(texts).shingles(words)
-    rank = classes[(code >> np.uint64(44)).astype(np.int64)].astype(np.uint64)
-    ordered = (rank << np.uint64(64 - CLASS_BITS)) | (mix(code) >> np.uint64(CLASS_BITS))
-    return sorted_sets(ordered, doc, len(texts))
+    return sorted_sets(code, doc, len(texts))
 
 
 def _names(sets: list[np.ndarray]) -> pa.Array:
@@ -242,16 +242,28 @@ def _names(sets: list[np.ndarray]) -> pa.Array:
                      if len(s) else None for s in sets], pa.int64())
 
 
-def _heads(words: int, percent: int, shared):
+def _digested(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int | None] = {None}
         for batch, texts in _batches(batches, "text"):
-            sets = _ordered(texts, words, shared.value)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            # two similar sets share one of the first codes of both
-            heads = [s[:len(s) - -(-percent * len(s) // 100) + 1].view(np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id"), pa.array(sizes), _names(sets), pa.array(heads, pa.list_(pa.int64()))],
-                ["id", "size", "node", "head"])
+            sets = _hashed(texts, words)
+            names = _names(sets)
+            # copies that follow one another in a task need no digests of their own
+            fresh = []
+            for name, codes in zip(names.to_pylist(), sets):
+                fresh.append(codes[:0] if name in seen else codes)
+                seen.add(name)
+            if len(seen) > SEEN:
+                seen = {None}
+            parts = part_digests(fresh, percent)
+            owner = np.concatenate([np.zeros(0, np.int64), *[o for _, o in parts]])
+            # 48 bits: a chance match costs one comparison
+            digest = np.concatenate([np.zeros(0, np.uint64), *[d for d, _ in parts]]) >> np.uint64(16)
+            ends = np.cumsum(np.bincount(owner, minlength=len(sets)))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(
+                digest[np.argsort(owner, kind="stable")].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), names, lists],
+                                             ["id", "size", "node", "digests"])
     return run
 
 
@@ -282,13 +294,13 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
     return found.ravel()
 
 
-def _sets(words: int, shared, bits):
+def _sets(words: int, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             bit = _bits(whole.column("id"))
             asked = np.flatnonzero((bits.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1)
             for batch, texts in _batches(iter([whole.take(pa.array(asked))]), "text"):
-                sets = _ordered(texts, words, shared.value)
+                sets = _hashed(texts, words)
                 yield pa.RecordBatch.from_arrays([_names(sets), pa.array(
                     [s.tobytes() for s in sets], pa.binary())], ["node", "codes"])
     return run
@@ -328,36 +340,16 @@ def open_pairs(sizes: np.ndarray, marks: list[np.ndarray], before: list[np.ndarr
     return ~shut
 
 
-def _hopeful(percent: int, done: list[str], once: bool):
-    """Rows of a code's group that may have a similar partner, judged by heads alone.
+def _hopeful(percent: int, done: list[str]):
+    """Rows of a digest's group that may have a similar partner.
 
-    Left out are partners in the same component, partners with which a code of ``done`` is shared (those were compared in
-    full) and, if ``once``, pairs that share a smaller code, which meet in its group. Of each pair one row lies outside the
-    largest component; only such rows walk the tree.
+    Left out are partners in the same component, out of reach by size, those with which a digest of ``done`` is shared
+    (they were compared in full) and pairs that share a digest in ``before``, which meet in its group.
     """
     def run(table: pa.Table) -> pa.Table:
-        code = np.uint64(table.column("code")[0].as_py() % (1 << 64))
-        sizes = table.column("size").to_numpy().astype(np.int64)
-        group = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-        heads = [np.asarray(h, np.int64).view(np.uint64) for h in table.column("head").to_pylist()]
-        before = [h[:np.searchsorted(h, code)] if once else h[:0] for h in heads]
-        marks = [group, *(table.column(d).to_numpy() for d in done)]
-        pairs = open_pairs(sizes, marks, before, percent)
-        keep = np.zeros(len(sizes), bool)
-        asking = np.flatnonzero(pairs.any(axis=1))
-        if len(asking):
-            tree = PrefixTree(percent)
-            common = shared_heads(heads)
-            room = [int(size) - len(h) + len(c) for size, h, c in zip(sizes, heads, common)]
-            for n in asking.tolist():
-                tree.insert(n, common[n], int(sizes[n]), room[n])
-            largest = np.bincount(group[asking]).argmax()
-            for n in asking[group[asking] != largest].tolist():
-                mine = pairs[n]
-                if keep[n] and keep[mine].all():
-                    continue
-                for m in tree.similar(common[n], lambda m: not mine[m] or keep[m] and keep[n], int(sizes[n]), room[n]):
-                    keep[n] = keep[m] = True
+        marks = [table.column(c).to_numpy() for c in ("component", *done)]
+        before = [np.asarray(b, np.int64) for b in table.column("before").to_pylist()]
+        keep = open_pairs(table.column("size").to_numpy().astype(np.int64), marks, before, percent).any(axis=1)
         return table.filter(pa.array(keep)).select(["code", "cell", "node", "id", "component"])
     return run
 
@@ -376,23 +368,20 @@ def _celled(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
     return dealt.withColumn("cell", F.explode(others)).select(*rows.columns, "cell")
 
 
-def _promising(members: DataFrame, percent: int, done: list[str], once: bool) -> DataFrame:
-    """Members of the codes at which a pair may meet: several components, and several codes of each kind in ``done``.
+def _promising(members: DataFrame, percent: int, done: list[str]) -> DataFrame:
+    """Members of the digests at which a pair may meet: several components, and several digests of each kind in ``done``.
 
-    Where a code has two members, sizes tell whether they can reach the threshold; if ``once``, pairs are compared at their
-    first common code, so nothing before it is shared and places tell too.
+    Where a digest has two members, sizes tell whether they can reach the threshold.
     """
     bounds = members.groupBy("code").agg(
         F.count("*").alias("n"), F.min("size").alias("s"), F.max("size").alias("t"),
-        F.min(F.col("size") - F.col("place")).alias("left"), F.min("component").alias("c"), F.max("component").alias("d"),
+        F.min("component").alias("c"), F.max("component").alias("d"),
         *[f(d).alias(f"{d}_{f.__name__}") for d in done for f in (F.min, F.max)])
-    reach = 100 * F.col("s") >= percent * F.col("t")
-    if once:
-        reach = reach & ((100 + percent) * F.col("left") >= percent * (F.col("s") + F.col("t")))
     several = F.col("c") != F.col("d")
     for d in done:
         several = several & (F.col(f"{d}_min") != F.col(f"{d}_max"))
-    return members.join(bounds.where(several & ((F.col("n") > 2) | reach)).select("code"), "code", "left_semi")
+    reach = (F.col("n") > 2) | (100 * F.col("s") >= percent * F.col("t"))
+    return members.join(bounds.where(several & reach).select("code"), "code", "left_semi")
 
 
 def _placed(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -405,12 +394,11 @@ def _placed(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def similar_components(docs: DataFrame, words: int = 3, percent: int = 90, most: int = 2000) -> DataFrame:
     """id, n_shingles, component for (id, text): components of documents with Jaccard of shingles >= percent / 100.
 
-    Shingles are ordered rare first (by counts over all documents), then by hash, so each set is a sorted array of
-    64-bit codes. Equal sets are one node. Nodes that share a code among their heads (the first codes, one of which
-    any similar pair shares) are candidates. Each joins the group of its first shared code: a prefix tree of heads rules
-    out nearly all rows, one of whole sets links the rest, and components are formed. Then each joins the group of its most
-    frequent code, which connects large groups of near copies. Last, every shared code whose nodes lie in several
-    components, first and frequent groups is looked at likewise. Groups above ``most`` rows
+    Sets are sorted arrays of 64-bit hashes; equal sets are one node. Nodes that share a digest of a part of their sets (any
+    similar pair shares one, see ``part_digests``) are candidates. Each joins the group of its smallest shared digest: a
+    prefix tree of whole sets links the similar ones, and components are formed. Then each joins the group of its most
+    frequent digest, which connects large groups of near copies. Last, every shared digest whose nodes lie in several
+    components, smallest and frequent groups is looked at likewise. Groups above ``most`` rows
     become pairs of blocks, so that no group is held whole. Links inside what is connected are not listed. Whole sets
     are made anew from the texts that a map of 2^26 bits lets through; it only saves work, and less beyond some 10^7 of them.
 
@@ -418,43 +406,40 @@ def similar_components(docs: DataFrame, words: int = 3, percent: int = 90, most:
     rows with equal ids are compared by their own texts. Component is the smallest id reachable, null if there is none. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequency_classes(docs, words))  # 2^20 bytes
     rows = docs.select("id", "text")
-    heads = stored(rows.mapInArrow(_heads(words, percent, shared),
-                                   "id long, size long, node long, head array<bigint>"), "jaccard-heads")
+    heads = stored(rows.mapInArrow(_digested(words, percent),
+                                   "id long, size long, node long, digests array<bigint>"), "jaccard-digests")
     nodes = stored(heads.where("size > 0").groupBy("node").agg(
-        F.min_by(F.struct("id", "size", "head"), F.coalesce("id", F.lit(NO_ID))).alias("r")).select("node", "r.*"), "jaccard-nodes")
+        F.min("id").alias("id"), F.first("size").alias("size")), "jaccard-nodes")
 
-    spread = nodes.select("node", "size", F.posexplode("head").alias("place", "code"))
-    several = spread.groupBy("code").agg(F.count("*").alias("n")).where("n > 1")
-    candidates = stored(spread.join(several, "code"), "jaccard-shared")
-    frequent = F.struct("n", "code")
+    same = Window.partitionBy("code")
+    several = heads.select(F.explode("digests").alias("code"), "node").withColumns({
+        "n": F.count("*").over(same), "least": F.min("node").over(same), "greatest": F.max("node").over(same)}).where(
+        "least != greatest")
+    candidates = stored(several.select("code", "node", "n").distinct(), "jaccard-shared")
     first = stored(candidates.groupBy("node").agg(
-        F.first("size").alias("size"), F.min_by("code", "place").alias("home"), F.min("place").alias("home_place"),
-        F.max_by("code", frequent).alias("hub"), F.max_by("place", frequent).alias("hub_place")), "jaccard-first")
-    known = nodes.select("node", "id", "size", "head")
+        F.min("code").alias("home"), F.max_by("code", F.struct("n", "code")).alias("hub"),
+        F.collect_set("code").alias("codes")).join(nodes, "node"), "jaccard-first")
 
     def linked(members: DataFrame, done: list[str], once: bool) -> DataFrame:
-        slim = _promising(members, percent, done, once).select("code", "node", "component", *done).join(known, "node")
+        before = F.filter("codes", lambda c: F.lit(once) & (c < F.col("code"))).alias("before")
+        slim = _promising(members, percent, done).drop("size").join(first.select("node", "id", "size", "codes"), "node").select(
+            "code", "node", "id", "size", "component", *done, before)
         hopeful = stored(_celled(slim, ["code"], most).groupBy("code", "cell").applyInArrow(
-            _hopeful(percent, done, once), "code long, cell string, node long, id long, component long"), "jaccard-hopeful")
+            _hopeful(percent, done), "code long, cell string, node long, id long, component long"), "jaccard-hopeful")
         bits = spark.sparkContext.broadcast(wanted_bits(hopeful))
-        sets = rows.mapInArrow(_sets(words, shared, bits), "node long, codes binary")
+        sets = rows.mapInArrow(_sets(words, bits), "node long, codes binary")
         return stored(hopeful.select("code", "cell", "node", "component").join(sets, "node").groupBy(
             "code", "cell").applyInArrow(_link_group(percent), LINK), "jaccard-links")
 
-    def members(kind: str, placed: DataFrame) -> DataFrame:
-        return placed.join(first, "node").withColumn("code", F.col(kind)).withColumn("place", F.col(f"{kind}_place"))
-
-    near = linked(members("home", first.select("node", F.col("node").alias("component"))), [], True)
+    known = first.select("node", "size", "home", "hub")
+    near = linked(known.withColumns({"code": F.col("home"), "component": F.col("node")}), [], False)
     placed = stored(_placed(first, near), "jaccard-placed")
-    near = near.union(linked(members("hub", placed), ["home"], False))
+    near = near.union(linked(placed.join(known, "node").withColumn("code", F.col("hub")), ["home"], False))
     placed = stored(_placed(first, near), "jaccard-placed")
 
-    # the links that are still missing share neither first nor most frequent code
-    rest = candidates.select("node", "code", "place", "size").join(
-        placed.join(first.select("node", "home", "hub"), "node"), "node")
-    far = linked(rest, ["home", "hub"], True)
+    # the links that are still missing share neither smallest nor most frequent digest
+    far = linked(candidates.select("code", "node").join(placed.join(known, "node"), "node"), ["home", "hub"], True)
 
     whole = stored(_placed(nodes, near.union(far)), "jaccard-components")
     least = nodes.join(whole, "node").groupBy("component").agg(F.min("id").alias("least"))

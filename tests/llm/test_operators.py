@@ -471,6 +471,26 @@ def test_a_text_links_with_itself_and_words_of_its_own(spark):
         (90, 1), (91, 1), (100, 1), (101, 1), (102, 1)]
 
 
+def test_similar_sets_share_a_digest_and_others_with_common_codes_do_not():
+    """Candidates come from what sets hold together, not from how rare a code is, so they do not multiply with the table."""
+    rng = np.random.default_rng(12)
+    for percent in (90, 80, 50):
+        for _ in range(300):
+            a = int(np.exp(rng.uniform(0, 6)))
+            b = int(rng.integers(a, 100 * a // percent + 1))
+            both = min(a, jaccard.least_overlap(a, b, percent))
+            codes = rng.integers(0, 1 << 64, a + b - both, dtype=np.uint64)
+            pair = [np.sort(codes[:a]), np.sort(np.concatenate([codes[:both], codes[a:]]))]
+            found = jaccard.part_digests(pair, percent)
+            mine, theirs = ({d for digests, sets in found for d, s in zip(digests.tolist(), sets) if s == n} for n in (0, 1))
+            assert both == b or mine & theirs
+    common = rng.integers(0, 1 << 64, 300, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([common, rng.integers(0, 1 << 64, 300, dtype=np.uint64)])) for _ in range(200)]
+    digests = np.concatenate([d for d, _ in jaccard.part_digests(sets, 90)])
+    _, times = np.unique(digests, return_counts=True)
+    assert times[times > 1].sum() < 0.05 * len(digests)
+
+
 def test_stars_connect_the_same():
     assert jaccard.stars([(1, 2), (2, 3), (5, 4), (6, 6)], 7) == [(2, 1), (3, 1), (5, 4)]
     assert jaccard.stars([], 3) == []
