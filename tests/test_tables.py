@@ -11,6 +11,7 @@ from crawlweave.functions.text import product_id, product_slug
 from crawlweave.schemas import ENRICHED
 from crawlweave.sources.lake import lake_rows, lake_write, read_lake
 from crawlweave.sources.topics import read_topics, write_topics
+from crawlweave.streaming.collect import stream_lake
 from crawlweave.sources.tables import (embedding_rows, embeddings_table, page_rows, pages_table, product_rows,
                                        products_table)
 
@@ -174,6 +175,44 @@ def test_a_lake_batch_replaces_all_that_it_wrote_before(spark, tmp_path):
     assert sorted(r["value"] for r in read_lake(spark, path).collect()) == ["b", "c"]
 
 
+def test_lake_files_are_compressed(spark, tmp_path):
+    path, line = tmp_path / "lake", '{"text":"' + "one line of many " * 2000 + '"}'
+    lake_write(spark.createDataFrame([(line, "2024-01-01", "h.com")] * 20, "value string, dt string, domain string"), str(path), "b0")
+    assert sum(f.stat().st_size for f in path.rglob("part-*")) * 10 < 20 * len(line)
+    assert [r["value"] for r in read_lake(spark, str(path)).distinct().collect()] == [line]
+
+
+def test_the_plan_of_a_read_does_not_grow_with_the_deltas(spark, tmp_path):
+    """Ties of versions still go to the later delta, also beside deltas named in the earlier form."""
+    table = pages_table(spark, str(tmp_path / "many"), buckets=2)
+    for n in range(5):
+        table.upsert(page_rows(enriched(spark, [("https://h.com/hot", f"title {n}", "x", "page", 7), (f"https://h.com/{n}", "t", "x", "page", n)])), f"b{n}")
+    plan = table.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the newest rows and their keys
+    assert table.read().count() == 6 and table.get("https://h.com/hot").first()["title"] == "title 4"
+    version = table.current()
+    table._folder.move(version["deltas"][0], "deltas/b0-earlier")
+    table._publish(version | {"deltas": ["deltas/b0-earlier", *version["deltas"][1:]]})
+    assert table.read().count() == 6 and table.get("https://h.com/hot").first()["title"] == "title 4"
+
+
+def test_a_stream_of_one_topic_reads_and_drops_only_its_files(spark, tmp_path):
+    log, lake = str(tmp_path / "log"), str(tmp_path / "lake")
+    rows = spark.range(40).select(F.explode(F.array(F.lit("results.raw"), F.lit("results.enriched"))).alias("topic"),
+                                  F.format_string('{"sitesUrl":"https://h.com/%d","meta":{"fetchedAt":"2024-01-01T00:00:00.000Z"}}', "id").alias("value"))
+    for n in range(4):
+        write_topics(rows.coalesce(1), log, f"b{n}", gather=False)
+    run = stream_lake(spark, log, str(tmp_path / "c"), lake, files_per_trigger=1, drop_read=True)
+    run.awaitTermination()
+    assert [p["numInputRows"] for p in run.recentProgress if p["numInputRows"]] == [40] * 4
+    assert read_lake(spark, lake).count() == 160
+    assert read_topics(spark, log, ["results.enriched"]).count() == 160
+    assert read_topics(spark, log, ["results.raw"]).count() < 160
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    with pytest.raises(ValueError):
+        read_topics(spark, log, ["results.raw", "results.enriched"], streaming=True, drop_read=True)
+
+
 def test_task_files_hold_few_records(spark, tmp_path):
     rows = spark.range(100).select(F.lit("crawl.initial").alias("topic"), F.col("id").cast("string").alias("value"))
     write_topics(rows, str(tmp_path / "log"), "b", 30)
