@@ -96,6 +96,18 @@ def status_triage(log: DataFrame, retries: int = 2) -> DataFrame:
             .withColumn("wait_ms", F.when(again, (1000 * F.pow(F.lit(2), attempt)).cast("bigint"))))
 
 
+def origin_slots(tasks: DataFrame, limit: int = MAX_PER_ORIGIN, order: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """All tasks, dealt so that at most ``limit`` of an origin are in work at once: each has ``limit`` slots.
+
+    A slot's tasks lie in one partition and so run one after the other, high priority first; nothing waits for another
+    round. The slot is a hash of the url, so no task has to see a whole origin.
+    """
+    return (tasks.withColumn("_slot", F.pmod(F.xxhash64("url"), F.lit(limit)))
+            .withColumn("_turn", F.when(F.col("priority") == "high", 0).otherwise(1))
+            .repartition("origin", "_slot").sortWithinPartitions("origin", "_slot", "_turn", *order)
+            .select(*tasks.columns))
+
+
 def origin_cap(tasks: DataFrame, limit: int = MAX_PER_ORIGIN, order: tuple[str, ...] = ("seq",)) -> DataFrame:
     """At most ``limit`` tasks per origin are ``ok``, the others ``retry``; high priority goes first.
 

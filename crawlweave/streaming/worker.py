@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from crawlweave.functions.urls import origin_of
 from crawlweave.operators.dedupe import new_urls, unseen
 from crawlweave.operators.extract import extract_pages, page_results, result_json
-from crawlweave.operators.gates import depth_gate, origin_cap, robots_gate
+from crawlweave.operators.gates import depth_gate, origin_cap, origin_slots, robots_gate
 from crawlweave.operators.links import site_links
 from crawlweave.operators.routing import route_outcomes, with_not_before
 from crawlweave.operators.validate import result_is_valid, validate_tasks
@@ -39,10 +39,10 @@ class CrawlWorker:
 
     def __init__(self, spark: SparkSession, log: str, home: str, snapshot: DataFrame,
                  options: CrawlOptions = CrawlOptions(), rules: DataFrame | None = None,
-                 clock: Callable[[], datetime] | None = None):
+                 clock: Callable[[], datetime] | None = None, pause: Callable[[float], None] = time.sleep):
         self.spark, self.log, self.home = spark, log, home
         self.snapshot, self.options, self.rules = snapshot, options, rules
-        self.clock = clock or (lambda: datetime.now(timezone.utc))
+        self.clock, self.pause = clock or (lambda: datetime.now(timezone.utc)), pause
         self.waiting_until: datetime | None = None
 
     def visited(self, before: int | None = None) -> DataFrame:
@@ -85,11 +85,15 @@ class CrawlWorker:
         seen = self.visited(before=batch)
         if not options.recrawl:
             tasks = self._stage(unseen(tasks, seen, "url"), "unseen", batch)
-        if options.max_per_origin is not None:
+        slots = options.max_per_origin if options.queue_in_batch else None
+        if options.max_per_origin is not None and slots is None:
             tasks = origin_cap(tasks.drop("outcome"), options.max_per_origin, order=("timestamp", "offset", "url"))
 
-        due = tasks.filter(F.col("outcome") == "ok").select(*CARRIED, "url", "depth")
-        fetched = extract_pages(snapshot_fetch(due, self.snapshot), options.include_selectors,
+        due = tasks.filter(F.col("outcome") == "ok").select(*CARRIED, "url", "depth", "origin", "priority")
+        pages = snapshot_fetch(due, self.snapshot)
+        if slots is not None:
+            pages = origin_slots(pages, slots, order=("timestamp", "offset", "url"))
+        fetched = extract_pages(pages.drop("origin", "priority"), options.include_selectors,
                                 keep_html=bool(options.include_selectors))
         fetched = self._stage(fetched, "fetched", batch)
         failed = route_outcomes(fetched.filter(F.col("outcome") == "retry").select(*CARRIED, "outcome", "reason", "url"),
@@ -118,7 +122,7 @@ class CrawlWorker:
         names = ["topic", "key", "value", "headers", "_since"]
         gathered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                           [rows.select(*[c for c in names if c in rows.columns]) for rows in out])
-        write_topics(gathered.withColumn("timestamp", F.coalesce("_since", F.current_timestamp())).drop("_since"),
+        write_topics(gathered.withColumn("timestamp", F.coalesce("_since", F.lit(self.clock()))).drop("_since"),
                      self.log, label, TASKS_PER_FILE)
         self._log_outcomes([
             bad.select(*OUTCOME), full.select(*OUTCOME), failed.select(*OUTCOME),
@@ -179,7 +183,7 @@ class CrawlWorker:
                 idle = 0
             elif self.waiting_until is not None:
                 # only retries whose time has not come: wait for the first of them (at most the longest delay)
-                time.sleep(max(0.0, (self.waiting_until - self.clock()).total_seconds()))
+                self.pause(max(0.0, (self.waiting_until - self.clock()).total_seconds()))
             else:
                 idle += 1
             finished = now

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from crawlweave.operators import metrics
+from crawlweave.operators.gates import origin_slots
 from crawlweave.options import CrawlOptions
+from crawlweave.plans import stream_queries
 from crawlweave.plans.derived import table, view
 from crawlweave.plans.frontier import crawl_frontier
 from crawlweave.session import ROCKSDB_PROVIDER
@@ -130,6 +132,47 @@ def test_one_origin_drains_under_the_default_cap_without_a_round_limit(spark, tm
     assert len(results(spark, log)) == 30 and worker.visited().count() == 30
 
 
+def test_tasks_of_a_full_origin_queue_for_its_slots_in_the_batch(spark, tmp_path):
+    """Forty tasks of one origin under the default cap: one round, in at most four partitions, high priority first."""
+    site = spark.createDataFrame([(f"https://h.com/{i}", f"page {i}") for i in range(40)], "url string, html string")
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    publish(spark, seeds(spark, *[f"https://h.com/{i}" for i in range(40)]), log)
+    worker = CrawlWorker(spark, log, state, site, CrawlOptions(queue_in_batch=True))
+    assert worker.options.max_per_origin == 4 and worker.drain() == 1
+    assert len(results(spark, log)) == 40 and worker.visited().count() == 40
+    tasks = spark.createDataFrame([(i, f"https://{'h' if i % 10 else 'o'}.com/{i}", f"https://{'h' if i % 10 else 'o'}.com",
+                                    "high" if i % 7 == 0 else None) for i in range(400)],
+                                  "seq int, url string, origin string, priority string").repartition(8)
+    dealt = origin_slots(tasks).withColumn("place", F.struct(F.spark_partition_id(), F.pmod(F.xxhash64("url"), F.lit(4))))
+    rows = dealt.collect()
+    assert sorted(r["seq"] for r in rows) == list(range(400))
+    for origin in ("https://h.com", "https://o.com"):
+        places = {r["place"] for r in rows if r["origin"] == origin}
+        assert len({slot for _, slot in places}) == len(places) <= 4
+        for place in places:
+            turn = [(r["priority"] != "high", r["seq"]) for r in rows if r["origin"] == origin and r["place"] == place]
+            assert turn == sorted(turn)
+
+
+def test_stream_worker_runs_robots_slots_and_retries(spark, small, monkeypatch):
+    """The registered query leaves no step of the worker out: a missing page dies after a try from each retry topic."""
+    made = []
+
+    class Spy(CrawlWorker):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            made.append(self)
+
+    monkeypatch.setattr(stream_queries, "CrawlWorker", Spy)
+    assert stream_queries.stream_worker(spark, small).count() > 0
+    (worker,) = made
+    assert worker.options.max_per_origin == 4 and worker.rules.count() > 0
+    dead = read_topics(spark, worker.log, ["crawl.initial.dlq"]).collect()
+    assert dead and {r["headers"]["attempts"] for r in dead} == {"4"}
+    for topic in ("crawl.initial.retry.30s", "crawl.initial.retry.5m"):
+        assert read_topics(spark, worker.log, [topic]).count() >= len(dead)
+
+
 def test_a_retry_runs_once_after_its_delay(spark, site, tmp_path):
     """A 30 s retry read 10 s after it was published waits (published again with its own time); read 31 s after, it
     runs, once."""
